@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,8 +17,15 @@ CLASS_NAMES = (
 )
 
 
-def _positions(n: int) -> Column:
-    return F.sequence(F.lit(0), F.lit(n - 1))
+def _gather(pixels: Column, size: int, pick: Callable[[Column, Column], Column]) -> Column:
+    """``pick(array, position)`` for each output position.
+
+    The array goes through an outer lambda, which evaluates it once per row even when it is an
+    expression; inside the inner lambda alone it would be computed anew for every position.
+    """
+    positions = F.sequence(F.lit(0), F.lit(size - 1))
+    rows = F.transform(F.array(pixels), lambda px: F.transform(positions, lambda i: pick(px, i)))
+    return F.element_at(rows, 1)
 
 
 def scale(pixels: Column, top: float = 255.0) -> Column:
@@ -35,10 +42,11 @@ def centre(pixels: Column, means: Sequence[float]) -> Column:
 
 def reverse_channels(pixels: Column, n_pixels: int, channels: int) -> Column:
     """RGB to BGR (or back)."""
-    def pick(i: Column) -> Column:
+    def pick(px: Column, i: Column) -> Column:
         channel = F.pmod(i, F.lit(channels))
-        return F.get(pixels, i - channel + (channels - 1) - channel)
-    return F.transform(_positions(n_pixels * channels), pick)
+        return F.get(px, i - channel + (channels - 1) - channel)
+
+    return _gather(pixels, n_pixels * channels, pick)
 
 
 def preprocess_pretrained(pixels: Column, n_pixels: int) -> Column:
@@ -47,23 +55,25 @@ def preprocess_pretrained(pixels: Column, n_pixels: int) -> Column:
 
 
 def flip_horizontal(pixels: Column, height: int, width: int, channels: int) -> Column:
-    def pick(i: Column) -> Column:
+    def pick(px: Column, i: Column) -> Column:
         channel = F.pmod(i, F.lit(channels))
         cell = F.floor(i / channels).cast("int")
         column = F.pmod(cell, F.lit(width))
-        return F.get(pixels, (cell - column + (width - 1) - column) * channels + channel)
-    return F.transform(_positions(height * width * channels), pick)
+        return F.get(px, (cell - column + (width - 1) - column) * channels + channel)
+
+    return _gather(pixels, height * width * channels, pick)
 
 
 def upsample(pixels: Column, height: int, width: int, channels: int, factor: int) -> Column:
     """Repeat every pixel ``factor`` times along both axes."""
-    def pick(i: Column) -> Column:
+    def pick(px: Column, i: Column) -> Column:
         channel = F.pmod(i, F.lit(channels))
         cell = F.floor(i / channels)
         x = F.floor(F.pmod(cell, F.lit(width * factor)) / factor)
         y = F.floor(F.floor(cell / (width * factor)) / factor)
-        return F.get(pixels, ((y * width + x) * channels + channel).cast("int"))
-    return F.transform(_positions(height * width * channels * factor * factor), pick)
+        return F.get(px, ((y * width + x) * channels + channel).cast("int"))
+
+    return _gather(pixels, height * width * channels * factor * factor, pick)
 
 
 def shift(
@@ -76,7 +86,7 @@ def shift(
     def clamp(v: Column, top: int) -> Column:
         return F.least(F.greatest(v, F.lit(0).cast("bigint")), F.lit(top).cast("bigint"))
 
-    def pick(i: Column) -> Column:
+    def pick(px: Column, i: Column) -> Column:
         channel = F.pmod(i, F.lit(channels))
         cell = F.floor(i / channels)
         y = F.floor(cell / width) - dy
@@ -86,13 +96,13 @@ def shift(
 
         def at(row: Column, column: Column) -> Column:
             flat = (clamp(row, height - 1) * width + clamp(column, width - 1)) * channels
-            return F.get(pixels, (flat + channel).cast("int")).cast("double")
+            return F.get(px, (flat + channel).cast("int")).cast("double")
 
         upper = at(top, left) * (1 - fx) + at(top, left + 1) * fx
         lower = at(top + 1, left) * (1 - fx) + at(top + 1, left + 1) * fx
         return upper * (1 - fy) + lower * fy
 
-    return F.transform(_positions(height * width * channels), pick)
+    return _gather(pixels, height * width * channels, pick)
 
 
 def argmax(values: Column) -> Column:

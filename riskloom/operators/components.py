@@ -20,9 +20,7 @@ def _with_smallest(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFra
     """Add to each (u, v) the smallest v of its u, called m."""
     grouped = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
     smallest = grouped.select("u", "m")
-    if n_links <= min_hot_rows:
-        return links.join(smallest, "u")
-    return hot_split_join(links, smallest, ["u"], "inner", grouped, min_hot_rows)
+    return hot_split_join(links, smallest, ["u"], "inner", grouped, n_links, min_hot_rows)
 
 
 def _large_star(edges: DataFrame, n_edges: int, min_hot_rows: int) -> DataFrame:
@@ -54,32 +52,40 @@ def _small_star(edges: DataFrame, n_edges: int, min_hot_rows: int) -> DataFrame:
     )
 
 
-def _is_stars(edges: DataFrame, n_edges: int) -> bool:
-    """Every vertex hangs on one centre and no centre hangs on another."""
-    if edges.select("u").distinct().count() < n_edges:
-        return False
+def _sizes(edges: DataFrame) -> tuple[int, int]:
+    """Edges, and distinct vertices on their larger side."""
+    per_vertex = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    row = per_vertex.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    return row[0], row[1]
+
+
+def _has_chain(edges: DataFrame) -> bool:
+    """Whether some centre hangs on another vertex."""
     centres = edges.select(F.col("v").alias("u")).distinct()
-    return edges.join(centres, "u", "left_semi").isEmpty()
+    return not edges.join(centres, "u", "left_semi").isEmpty()
 
 
 def star_labels(
     edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS, checkpoint_every: int = 1
 ) -> DataFrame:
-    """(u, v) with numeric ids to (u, root): every vertex but the roots, with its smallest member."""
+    """(u, v) with numeric ids to (u, root): every vertex but the roots, with its smallest member.
+
+    Done when every vertex hangs on one centre only and no centre hangs on another.
+    """
     ensure_checkpoint_dir(edges.sparkSession)
     oriented = edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
     current = oriented.distinct().checkpoint()
-    n_edges = current.count()
+    n_edges, n_hanging = _sizes(current)
     step = 0
-    while not _is_stars(current, n_edges):
+    while n_edges > n_hanging or (n_edges and _has_chain(current)):
         step += 1
         current = _large_star(current, n_edges, min_hot_rows)
         current = _small_star(current, n_edges, min_hot_rows)
         if step % checkpoint_every == 0:
             current = current.checkpoint()
-        n_edges = current.count()
+        n_edges, n_hanging = _sizes(current)
     return current.select("u", F.col("v").alias("root"))
 
 
@@ -91,7 +97,8 @@ def connected_components(
 ) -> DataFrame:
     """Add ``component`` to the vertices: the smallest ``type:id`` among the members.
 
-    Vertices without edges are their own component.
+    Vertices without edges are their own component. The result is written to the checkpoint
+    folder, because reports read it several times.
     """
     ensure_checkpoint_dir(vertices.sparkSession)
     # Numbers follow the sort order of the keys, so the smallest number is the smallest key.
@@ -102,20 +109,34 @@ def connected_components(
         .checkpoint()
     )
     names = numbered.select("key", "n")
-    pairs = edges.select(
-        vertex_key(F.col("src_tipo"), F.col("src")).alias("a"),
-        vertex_key(F.col("dst_tipo"), F.col("dst")).alias("b"),
-    ).distinct()
+    pairs = (
+        edges.select(
+            vertex_key(F.col("src_tipo"), F.col("src")).alias("a"),
+            vertex_key(F.col("dst_tipo"), F.col("dst")).alias("b"),
+        )
+        .distinct()
+        .checkpoint()
+    )
+    n_vertices, n_pairs = numbered.count(), pairs.count()
+
+    def rows_by(df: DataFrame, column: str) -> DataFrame:
+        return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+
     left = names.select(F.col("key").alias("a"), F.col("n").alias("u"))
     right = names.select(F.col("key").alias("b"), F.col("n").alias("v"))
-    linked = hot_split_join(pairs, left, ["a"], "inner", min_hot_rows=min_hot_rows)
-    linked = hot_split_join(linked, right, ["b"], "inner", min_hot_rows=min_hot_rows)
+    linked = hot_split_join(
+        pairs, left, ["a"], "inner", rows_by(pairs, "a"), n_pairs, min_hot_rows
+    )
+    linked = hot_split_join(
+        linked, right, ["b"], "inner", rows_by(pairs, "b"), n_pairs, min_hot_rows
+    )
     stars = star_labels(linked.select("u", "v"), min_hot_rows, checkpoint_every)
 
-    rooted = (
-        numbered.join(stars.withColumnRenamed("u", "n"), "n", "left")
-        .select("tipo", "id", F.coalesce("root", "n").alias("root"))
+    rooted = numbered.join(stars.withColumnRenamed("u", "n"), "n", "left").select(
+        "tipo", "id", F.coalesce("root", "n").alias("root")
     )
     roots = names.select(F.col("n").alias("root"), F.col("key").alias("component"))
-    labelled = hot_split_join(rooted, roots, ["root"], "inner", min_hot_rows=min_hot_rows)
-    return labelled.select("component", "tipo", "id")
+    labelled = hot_split_join(
+        rooted, roots, ["root"], "inner", rows_by(rooted, "root"), n_vertices, min_hot_rows
+    )
+    return labelled.select("component", "tipo", "id").checkpoint()

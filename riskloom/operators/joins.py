@@ -71,17 +71,21 @@ def hot_split_join(
     on: Sequence[str],
     how: str = "left",
     counts: DataFrame | None = None,
+    n_rows: int | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Shuffle join in which hot keys are joined by broadcast.
 
-    ``counts`` may supply the rows per key (key columns and ``n``) where they are known already.
+    ``counts`` (key columns and ``n``) and ``n_rows`` may supply the rows per key and in all where
+    they are known already.
     """
     on = list(on)
+    if n_rows is not None and n_rows <= min_hot_rows:
+        return fact.join(dim, on, how)
     if counts is None:
         counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select(*on, "n")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total = n_rows or counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     threshold = max(total // HOT_KEYS, min_hot_rows)
     if total <= threshold:
         return fact.join(dim, on, how)

@@ -43,9 +43,9 @@ def ring_members(
     """The members of the rings, one per row, with the ring size."""
     sizes = ring_sizes(members, larger_than)
     known = sizes.withColumnRenamed("num_entidades", "n")
-    return hot_split_join(members, sizes, ["component"], "inner", known, min_hot_rows).select(
-        "component", "num_entidades", "tipo", "id"
-    )
+    return hot_split_join(
+        members, sizes, ["component"], "inner", known, min_hot_rows=min_hot_rows
+    ).select("component", "num_entidades", "tipo", "id")
 
 
 def fraud_rings(ring_rows: DataFrame, segment_size: int = SEGMENT) -> DataFrame:

@@ -18,14 +18,14 @@ def quotas(sizes: DataFrame, fraction: float) -> DataFrame:
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_remainder = Window.orderBy(F.desc("_rest"), "label")
     wanted = F.ceil(F.sum("n").over(everything) * F.lit(fraction))
-    # Integer arithmetic: equal remainders stay equal.
-    share = F.col("n") * F.col("_wanted")
+    # Whole-number arithmetic, wide enough for the product of two counts.
+    share = F.col("n").cast("decimal(19,0)") * F.col("_wanted").cast("decimal(19,0)")
     return (
         sizes.withColumn("_wanted", wanted)
         .withColumn("_all", F.sum("n").over(everything))
-        .withColumn("_rest", F.pmod(share, F.col("_all")))
-        .withColumn("_floor", (share - F.col("_rest")) / F.col("_all"))
-        .withColumn("_floor", F.col("_floor").cast("bigint"))
+        .withColumn("_share", share)
+        .withColumn("_rest", F.expr("_share % _all"))
+        .withColumn("_floor", F.expr("_share div _all"))
         .withColumn("_missing", F.col("_wanted") - F.sum("_floor").over(everything))
         .withColumn("_extra", (F.row_number().over(by_remainder) <= F.col("_missing")).cast("int"))
         .select("label", (F.col("_floor") + F.col("_extra")).alias("quota"))

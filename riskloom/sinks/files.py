@@ -12,9 +12,13 @@ def overwrite_table(df: DataFrame, table: str) -> None:
 
 
 def append_partition(df: DataFrame, path: str, partition: str) -> None:
-    """Write the partitions present in ``df``; running it again replaces them."""
+    """Write the partitions present in ``df``; running it again replaces them.
+
+    Rebalancing gathers each partition value into few files and splits a large one over tasks.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", partition)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

@@ -65,8 +65,18 @@ def window_sink(root: str) -> KeyedSink:
     return KeyedSink(root, "metricas_ventanas", ("window_start",))
 
 
-def reject_sink(root: str) -> KeyedSink:
-    return KeyedSink(root, "rechazados", ("user_id", "amount", "card_country", "method"))
+def append_files(
+    stream: DataFrame, root: str, name: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Exactly-once append of all rows to Parquet files; used for quarantined rows and landing."""
+    writer = (
+        stream.writeStream.queryName(name)
+        .outputMode("append")
+        .format("parquet")
+        .option("path", f"{root}/{name}")
+        .option("checkpointLocation", f"{root}/_checkpoints/{name}")
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def deduplicated(
