@@ -8,23 +8,40 @@ the checkpoint folder, so neither lineage nor a lost executor makes it run again
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.graph import vertex_key
-from riskloom.operators.joins import MIN_HOT_ROWS, hot_split_join
+from riskloom.operators.joins import MIN_HOT_ROWS, fits_broadcast, hot_keys, hot_split_join
 from riskloom.session import ensure_checkpoint_dir
 
 
 def _with_smallest(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFrame:
-    """Add to each (u, v) the smallest v of its u, called m."""
-    grouped = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-    smallest = grouped.select("u", "m")
-    return hot_split_join(links, smallest, ["u"], "inner", grouped, n_links, min_hot_rows)
+    """Add to each (u, v) the smallest v of its u, called m.
+
+    One shuffle by u serves the ordinary vertices. Hubs stay out of it: their few minima are
+    aggregated on the map side and broadcast.
+    """
+    cold, hubs = links, None
+    if n_links > min_hot_rows:
+        counts = links.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        hubs = hot_keys(counts, ["u"], n_links, min_hot_rows)
+    if hubs is not None:
+        cold = links.join(hubs, "u", "left_anti")
+    by_vertex = F.min("v").over(Window.partitionBy("u"))
+    marked = cold.withColumn("m", by_vertex)
+    if hubs is None:
+        return marked
+    at_hubs = links.join(hubs, "u", "left_semi")
+    minima = at_hubs.groupBy("u").agg(F.min("v").alias("m"))
+    return marked.unionByName(at_hubs.join(F.broadcast(minima), "u").select("u", "v", "m"))
 
 
 def _large_star(edges: DataFrame, n_edges: int, min_hot_rows: int) -> DataFrame:
-    """Hang the larger neighbours of each vertex on its smallest neighbour (or on itself)."""
+    """Hang the larger neighbours of each vertex on its smallest neighbour (or on itself).
+
+    Copies may arise; they stay within the edge count and go in the next small-star step.
+    """
     both = edges.select(
         F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
         .alias("e")
@@ -33,7 +50,6 @@ def _large_star(edges: DataFrame, n_edges: int, min_hot_rows: int) -> DataFrame:
         _with_smallest(both, 2 * n_edges, min_hot_rows)
         .filter("v > u")
         .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        .distinct()
     )
 
 
@@ -52,40 +68,53 @@ def _small_star(edges: DataFrame, n_edges: int, min_hot_rows: int) -> DataFrame:
     )
 
 
-def _sizes(edges: DataFrame) -> tuple[int, int]:
-    """Edges, and distinct vertices on their larger side."""
-    per_vertex = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    row = per_vertex.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    return row[0], row[1]
-
+def _shape(edges: DataFrame) -> tuple[int, bool]:
+    """The edge count, and whether the edges are stars.
 
-def _has_chain(edges: DataFrame) -> bool:
-    """Whether some centre hangs on another vertex."""
-    centres = edges.select(F.col("v").alias("u")).distinct()
-    return not edges.join(centres, "u", "left_semi").isEmpty()
+    They are when every vertex hangs on one centre only and no centre hangs on another. One
+    aggregation over the edge ends tells both.
+    """
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("u").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")),
+            F.struct(F.col("v").alias("id"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")),
+        )
+    ).alias("end")
+    hangs, holds = F.col("hangs"), F.col("holds")
+    row = (
+        edges.select(ends)
+        .groupBy("end.id")
+        .agg(F.sum("end.hangs").alias("hangs"), F.max("end.holds").alias("holds"))
+        .agg(
+            F.coalesce(F.sum(hangs), F.lit(0)).alias("n"),
+            F.count_if((hangs > 1) | ((hangs > 0) & (holds > 0))).alias("tangled"),
+        )
+        .first()
+    )
+    return row["n"], row["tangled"] == 0
 
 
 def star_labels(
     edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS, checkpoint_every: int = 1
 ) -> DataFrame:
-    """(u, v) with numeric ids to (u, root): every vertex but the roots, with its smallest member.
-
-    Done when every vertex hangs on one centre only and no centre hangs on another.
-    """
+    """(u, v) with numeric ids to (u, root): every vertex but the roots, with its smallest member."""
     ensure_checkpoint_dir(edges.sparkSession)
     oriented = edges.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
-    current = oriented.distinct().checkpoint()
-    n_edges, n_hanging = _sizes(current)
+    current = oriented.checkpoint()
+    n_edges, done = _shape(current)
     step = 0
-    while n_edges > n_hanging or (n_edges and _has_chain(current)):
+    while not done:
         step += 1
         current = _large_star(current, n_edges, min_hot_rows)
+        if n_edges > min_hot_rows:
+            # The small-star step will read it several times.
+            current = current.checkpoint()
         current = _small_star(current, n_edges, min_hot_rows)
         if step % checkpoint_every == 0:
             current = current.checkpoint()
-        n_edges, n_hanging = _sizes(current)
+        n_edges, done = _shape(current)
     return current.select("u", F.col("v").alias("root"))
 
 
@@ -117,26 +146,22 @@ def connected_components(
         .distinct()
         .checkpoint()
     )
-    n_vertices, n_pairs = numbered.count(), pairs.count()
+    names_fit = fits_broadcast(names)
 
-    def rows_by(df: DataFrame, column: str) -> DataFrame:
-        return df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    def named(fact: DataFrame, lookup: DataFrame, key: str, counted: DataFrame) -> DataFrame:
+        if names_fit:
+            return fact.join(F.broadcast(lookup), key)
+        counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        return hot_split_join(fact, lookup, [key], "inner", counts, min_hot_rows=min_hot_rows)
 
     left = names.select(F.col("key").alias("a"), F.col("n").alias("u"))
     right = names.select(F.col("key").alias("b"), F.col("n").alias("v"))
-    linked = hot_split_join(
-        pairs, left, ["a"], "inner", rows_by(pairs, "a"), n_pairs, min_hot_rows
-    )
-    linked = hot_split_join(
-        linked, right, ["b"], "inner", rows_by(pairs, "b"), n_pairs, min_hot_rows
-    )
+    linked = named(named(pairs, left, "a", pairs), right, "b", pairs)
     stars = star_labels(linked.select("u", "v"), min_hot_rows, checkpoint_every)
 
     rooted = numbered.join(stars.withColumnRenamed("u", "n"), "n", "left").select(
         "tipo", "id", F.coalesce("root", "n").alias("root")
     )
     roots = names.select(F.col("n").alias("root"), F.col("key").alias("component"))
-    labelled = hot_split_join(
-        rooted, roots, ["root"], "inner", rows_by(rooted, "root"), n_vertices, min_hot_rows
-    )
+    labelled = named(rooted, roots, "root", rooted)
     return labelled.select("component", "tipo", "id").checkpoint()

@@ -82,15 +82,15 @@ def degrees(edge_rows: DataFrame) -> DataFrame:
     )
 
 
-def hot_nodes(vertex_rows: DataFrame, edge_rows: DataFrame, n: int = 15) -> DataFrame:
+def hot_nodes(edge_rows: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` vertices of highest degree per type.
 
-    The rank cut runs inside each map task first, so only ``n`` rows per type and task shuffle.
+    The edge ends carry the vertex type, so degrees need no join with the vertex table. The rank
+    cut runs inside each map task first, so only ``n`` rows per type and task shuffle.
     """
     by_degree = Window.partitionBy("tipo").orderBy(F.desc("degree"), "id")
     return (
         degrees(edge_rows)
-        .join(vertex_rows, ["tipo", "id"])
         .withColumn("tipo", F.upper("tipo"))
         .withColumn("ranking", F.row_number().over(by_degree))
         .filter(F.col("ranking") <= n)

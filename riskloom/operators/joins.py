@@ -65,6 +65,20 @@ def lookup_join(
     return hot_split_join(fact, dim, on, how)
 
 
+def hot_keys(
+    counts: DataFrame, on: Sequence[str], n_rows: int | None, min_hot_rows: int = MIN_HOT_ROWS
+) -> DataFrame | None:
+    """The keys that hold more than one ``HOT_KEYS``-th of the rows, marked for broadcast."""
+    on = list(on)
+    total = n_rows or counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    threshold = max(total // HOT_KEYS, min_hot_rows)
+    if total <= threshold:
+        return None
+    keys = counts.filter(F.col("n") > threshold).dropna(subset=on).select(*on)
+    found = keys.collect()
+    return F.broadcast(counts.sparkSession.createDataFrame(found, keys.schema)) if found else None
+
+
 def hot_split_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -85,15 +99,9 @@ def hot_split_join(
     if counts is None:
         counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select(*on, "n")
-    total = n_rows or counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    threshold = max(total // HOT_KEYS, min_hot_rows)
-    if total <= threshold:
-        return fact.join(dim, on, how)
-    spark = fact.sparkSession
-    hot_rows = counts.filter(F.col("n") > threshold).dropna(subset=on).select(*on).collect()
-    if not hot_rows:
+    hot = hot_keys(counts, on, n_rows, min_hot_rows)
+    if hot is None:
         return fact.join(dim, on, how)
-    hot = F.broadcast(spark.createDataFrame(hot_rows, counts.select(*on).schema))
     hot_dim = F.broadcast(dim.join(hot, on, "left_semi"))
     hot_part = fact.join(hot, on, "left_semi").join(hot_dim, on, how)
     cold_part = fact.join(hot, on, "left_anti").join(dim, on, how)

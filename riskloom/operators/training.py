@@ -16,9 +16,9 @@ def candidate_heads(width: int, classes: int, seed: int = 42) -> dict:
     """A linear head and one with a hidden layer."""
     common = {"featuresCol": "features", "labelCol": "label"}
     return {
-        "linear head": LogisticRegression(maxIter=20, regParam=0.01, **common),
+        "linear head": LogisticRegression(maxIter=10, regParam=0.01, **common),
         "hidden-layer head": MultilayerPerceptronClassifier(
-            layers=[width, 32, classes], maxIter=30, seed=seed, **common
+            layers=[width, 32, classes], maxIter=15, seed=seed, **common
         ),
     }
 

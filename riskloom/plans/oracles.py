@@ -367,7 +367,7 @@ WHERE newest = 1""",
         "csv_roundtrip": _with(PAYMENTS, """
 SELECT card_country, count(*) AS total_transacciones FROM payments GROUP BY card_country"""),
         "history_by_date": """
-SELECT strftime(o_orderdate, '%Y-%m') AS batch_month, count(*) AS n,
+SELECT CAST(year(o_orderdate) AS INTEGER) AS batch_year, count(*) AS n,
        round(sum(o_totalprice), 2) AS total FROM orders GROUP BY ALL""",
         "tenant_purge": """
 SELECT lang AS project_id, count(*) AS n, TRUE AS existed, FALSE AS existed_again

@@ -332,15 +332,15 @@ def csv_roundtrip(spark, folder):
 
 @register
 def history_by_date(spark, folder):
-    """Appended history: writing a day again replaces that day only."""
+    """Appended history: writing a period again replaces that period only."""
     path = f"{new_folder(spark, 'history')}/payments"
     orders = views.table(spark, folder, "orders").withColumn(
-        "batch_month", F.date_format("o_orderdate", "yyyy-MM")
+        "batch_year", F.year("o_orderdate")
     )
-    out.append_partition(orders, path, "batch_month")
-    out.append_partition(orders.filter(F.col("batch_month") >= "1996"), path, "batch_month")
+    out.append_partition(orders, path, "batch_year")
+    out.append_partition(orders.filter(F.col("batch_year") >= 1996), path, "batch_year")
     stored = spark.read.schema(orders.schema).parquet(path)
-    return stored.groupBy("batch_month").agg(
+    return stored.groupBy("batch_year").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
 
@@ -384,7 +384,7 @@ def graph_degrees(spark, folder):
 
 @register
 def hot_nodes(spark, folder):
-    return graph.hot_nodes(*_graph(spark, folder))
+    return graph.hot_nodes(_graph(spark, folder)[1])
 
 
 def _rings(spark, folder):
