@@ -41,7 +41,7 @@ def level(critical: Column, elevated: Column, safe: Column) -> Column:
 
 def member_list(text: Column) -> Column:
     """``"a, b"`` as an array of trimmed names."""
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda name: F.trim(name))
 
 
 def threat_level(members_text: Column, policy: ThreatPolicy = ThreatPolicy()) -> Column:

@@ -412,6 +412,15 @@ WHERE (source LIKE '%.pdf' OR source LIKE '%.txt') AND length(text) > 0"""),
         "chunk_counts": _with(
             CHUNKS, "SELECT project_id, source, count(*) AS n_chunks FROM chunks GROUP BY ALL"
         ),
+        "index_reupload": _with(DOCUMENTS, """,
+sizes AS (
+  SELECT project_id, source, length(text) AS n,
+         CASE WHEN source LIKE '%.txt' THEN 900 ELSE 450 END AS stride,
+         CASE WHEN source LIKE '%.txt' THEN 100 ELSE 50 END AS overlap
+  FROM docs WHERE (source LIKE '%.txt' OR source LIKE '%.pdf') AND length(text) > 0)
+SELECT project_id, source,
+       CAST(sum(greatest(n - overlap - 1, 0) // stride + 1) AS BIGINT) AS n_chunks
+FROM sizes GROUP BY ALL""".lstrip()),
         "text_stats": f"""
 SELECT doc_id, CAST(n_words AS INTEGER) AS n_words, CAST(length(text) AS INTEGER) AS n_chars,
        'El fragmento tiene ' || n_words || ' palabras y ' || length(text)
@@ -435,6 +444,8 @@ SELECT *, running_tokens > 200 AS to_summarise FROM (
          CAST(sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn DESC) AS BIGINT)
            AS running_tokens
   FROM (SELECT *, CAST({TOKENS} AS BIGINT) AS tokens FROM conversations))""",
+        "history_append": """
+SELECT role, count(*) AS n FROM conversations WHERE conv_id // 100 <> 0 GROUP BY role""",
         "knn_exact": _with(
             hits, "SELECT query_id, chunk_id, round(sim, 6) AS similarity, rank FROM hits"
         ),

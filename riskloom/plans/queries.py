@@ -25,8 +25,11 @@ from riskloom.operators.lateness import late_rows as late_report
 from riskloom.operators.splits import stratified_split as split_rows
 from riskloom.operators.training import best_on_validation, candidate_heads, predict, train_heads
 from riskloom.plans import views
+from riskloom.plans.corpus import build_index, chunks_of
 from riskloom.session import new_folder
 from riskloom.sinks import files as out
+from riskloom.sinks import projects
+from riskloom.sinks.index import read_index, write_upload
 from riskloom.sinks.keyed import read_keyed, write_batch
 from riskloom.sources import files as src
 from riskloom.streaming import queries as streams
@@ -480,9 +483,9 @@ def project_registry(spark, folder):
 @register
 def project_files(spark, folder):
     supported = src.supported(views.documents(spark, folder))
-    projects = views.documents(spark, folder).select("project_id").distinct()
+    known = views.documents(spark, folder).select("project_id").distinct()
     without = supported.filter(F.col("project_id") != "es")
-    return conversations.project_files(without, projects)
+    return conversations.project_files(without, known)
 
 
 @register
@@ -493,6 +496,20 @@ def history_window(spark, folder):
     )
 
 
+@register
+def history_append(spark, folder):
+    """Chat turns appended in two writes, the second repeating the user turns; one project cleared."""
+    path = f"{new_folder(spark, 'chat')}/turns"
+    turns = views.table(spark, folder, "conversations").select(
+        F.concat(F.lit("p"), F.floor(F.col("conv_id") / 100).cast("string")).alias("project_id"),
+        "conv_id", "turn", "role", "text",
+    )
+    projects.append_turns(turns, path)
+    projects.append_turns(turns.filter(F.col("role") == "user"), path)
+    projects.clear_history(spark, path, "p0")
+    return projects.read_turns(spark, path).groupBy("role").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register
 def hashed_embeddings(spark, folder):
     rows = views.documents(spark, folder).select("doc_id", "text")
@@ -504,10 +521,14 @@ def hashed_embeddings(spark, folder):
 # ---------------------------------------------------------------- retrieval
 
 
+def _plain_hits(hits: DataFrame) -> DataFrame:
+    return hits.select("query_id", "chunk_id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
 @register
 def knn_exact(spark, folder):
     hits = ret.nearest(views.questions(spark, folder), views.passages(spark, folder))
-    return hits.withColumn("similarity", F.round("similarity", 6))
+    return _plain_hits(hits)
 
 
 @register
@@ -515,7 +536,7 @@ def knn_filtered(spark, folder):
     """Each question searches only the file its own number lies in."""
     queries = views.questions(spark, folder).withColumn("source_filter", F.col("own_source"))
     hits = ret.nearest(queries, views.passages(spark, folder))
-    return hits.withColumn("similarity", F.round("similarity", 6))
+    return _plain_hits(hits)
 
 
 def _retrieved(spark, folder):
@@ -556,21 +577,27 @@ def prompt_messages(spark, folder):
 
 @register
 def corpus_search(spark, folder):
-    """Text to answer context: chunks and questions embedded alike, then filtered retrieval."""
-    pages = views.documents(spark, folder)
-    chunks = chunking.chunk_fixed(src.supported(pages)).withColumn(
-        "chunk_id", F.col("doc_id") * (1 << 23) + F.col("chunk_no")
-    )
-    encoder = HashedTfIdf().fit(chunks)
-    corpus = encoder.transform(
-        chunks.select("chunk_id", "project_id", "source", "page", "text")
-    )
+    """Text to picked chunks: the stored index and the questions are embedded alike."""
+    path = f"{new_folder(spark, 'index')}/chunks"
+    index, encoder = build_index(views.documents(spark, folder), path)
     asked = views.questions(spark, folder).drop("vector").withColumnRenamed("question", "text")
-    queries = encoder.transform(asked)
-    picked = ret.retrieve(queries, corpus)
+    picked = ret.retrieve(encoder.transform(asked), index)
     return picked.select("query_id", "pick", "rank", "chunk_id", "source", "page")
 
 
+@register
+def index_reupload(spark, folder):
+    """Chunks per source after the text files were uploaded again in larger chunks."""
+    path = f"{new_folder(spark, 'index')}/chunks"
+    pages = views.documents(spark, folder)
+    again = pages.filter(F.col("source").endswith(".txt"))
+    columns = ["chunk_id", "project_id", "source", "page", "text"]
+    first = chunks_of(pages).select(*columns)
+    write_upload(first, path, 0)
+    write_upload(chunks_of(again, 1000, 100).select(*columns), path, 1)
+    return chunking.chunk_counts(read_index(spark, path, first.schema))
+
+
 # ---------------------------------------------------------------- rasters and training data
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.risk import RiskPolicy
 from riskloom.functions.text import join_path
 from riskloom.functions.threat import ThreatPolicy
+from riskloom.operators.balance import spread
 from riskloom.operators.conversations import last_questions
 from riskloom.operators.joins import lookup_join
 
@@ -114,7 +115,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     path = join_path(
         F.lit("data/projects"), F.col("lang"), F.lit("docs"), F.concat("source", extension)
     )
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents")).select(
         "doc_id",
         F.col("lang").alias("project_id"),
         path.alias("source"),
@@ -153,7 +154,7 @@ def questions(spark: SparkSession, folder: str) -> DataFrame:
 
 def rasters(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors as 8 x 8 pictures of one channel with values 0 to 255."""
-    return table(spark, folder, "embeddings").select(
+    return spread(table(spark, folder, "embeddings")).select(
         F.col("vec_id").alias("id"),
         F.transform(
             "embedding", lambda v: F.round((v.cast("double") + 1) * 127.5).cast("int")
