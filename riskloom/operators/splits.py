@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import lookup_join
+from riskloom.session import ensure_checkpoint_dir
 
 PREFIX = 4
 
@@ -59,6 +60,9 @@ def stratified_split(
             (F.col("quota") - F.col("_upto") + F.col("n")).alias("_take"),
         )
     )
+    # One small row per class; written, so that its counting scan is not repeated below.
+    ensure_checkpoint_dir(df.sparkSession)
+    cuts = cuts.checkpoint()
     placed = lookup_join(hashed, cuts, ["label"])
     on_cut = F.col("_prefix") == F.col("_cut")
     before = F.col("_prefix") < F.col("_cut")

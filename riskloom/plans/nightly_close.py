@@ -28,7 +28,7 @@ def _land(raw: DataFrame, key: str, path: str, batch_date: str) -> tuple[DataFra
         .filter(F.col(key).isNotNull())
         .withColumn("batch_date", F.lit(batch_date))
     )
-    append_partition(rows, path, "batch_date")
+    append_partition(rows, path, "batch_date", gather=False)
     stored = raw.sparkSession.read.schema(rows.schema).parquet(path)
     day = stored.filter(F.col("batch_date") == batch_date).drop("batch_date")
     return day, passing.get["n"]

@@ -445,7 +445,7 @@ SELECT *, running_tokens > 200 AS to_summarise FROM (
            AS running_tokens
   FROM (SELECT *, CAST({TOKENS} AS BIGINT) AS tokens FROM conversations))""",
         "history_append": """
-SELECT role, count(*) AS n FROM conversations WHERE conv_id // 100 <> 0 GROUP BY role""",
+SELECT role, count(*) AS n FROM conversations WHERE conv_id % 4 <> 0 GROUP BY role""",
         "knn_exact": _with(
             hits, "SELECT query_id, chunk_id, round(sim, 6) AS similarity, rank FROM hits"
         ),

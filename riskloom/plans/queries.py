@@ -501,7 +501,7 @@ def history_append(spark, folder):
     """Chat turns appended in two writes, the second repeating the user turns; one project cleared."""
     path = f"{new_folder(spark, 'chat')}/turns"
     turns = views.table(spark, folder, "conversations").select(
-        F.concat(F.lit("p"), F.floor(F.col("conv_id") / 100).cast("string")).alias("project_id"),
+        F.concat(F.lit("p"), F.pmod("conv_id", F.lit(4)).cast("string")).alias("project_id"),
         "conv_id", "turn", "role", "text",
     )
     projects.append_turns(turns, path)

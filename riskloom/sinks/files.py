@@ -11,14 +11,15 @@ def overwrite_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 
 
-def append_partition(df: DataFrame, path: str, partition: str) -> None:
+def append_partition(df: DataFrame, path: str, partition: str, gather: bool = True) -> None:
     """Write the partitions present in ``df``; running it again replaces them.
 
-    Rebalancing gathers each partition value into few files and splits a large one over tasks.
+    ``gather`` rebalances first: each partition value goes into few files and a large one is split
+    over tasks. It costs a shuffle, so switch it off where all rows belong to one partition.
     """
+    rows = df.hint("rebalance", partition) if gather else df
     (
-        df.hint("rebalance", partition)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
