@@ -245,13 +245,14 @@ def _pixel(y: str, x: str) -> str:
 
 PREDICTIONS = """
 probabilities AS (
-  SELECT m.model, l.doc_id AS id, l.quality AS label,
-         CASE m.model WHEN 'long text' THEN least(0.95, greatest(0.05, d.n_chars / 2000.0::DOUBLE))
-                      WHEN 'short text'
-                        THEN least(0.95, greatest(0.05, 1 - d.n_chars / 4000.0::DOUBLE))
-                      ELSE 1.0::DOUBLE END AS p
-  FROM labels l JOIN documents d USING (doc_id)
-  CROSS JOIN (VALUES ('long text'), ('short text'), ('always good')) m(model)),
+  SELECT model, id, label,
+         CASE model WHEN 'long text' THEN least(0.95, greatest(0.05, n_chars / 2000.0::DOUBLE))
+                    WHEN 'short text'
+                      THEN least(0.95, greatest(0.05, 1 - n_chars / 4000.0::DOUBLE))
+                    ELSE 1.0::DOUBLE END AS p
+  FROM (SELECT l.doc_id AS id, l.quality AS label, d.n_chars,
+               unnest(['long text', 'short text', 'always good']) AS model
+        FROM labels l JOIN documents d USING (doc_id))),
 predictions AS (
   SELECT *, CAST(CASE WHEN p > 1 - p THEN 1 ELSE 0 END AS INTEGER) AS prediction,
          least(greatest(CASE WHEN label = 1 THEN p ELSE 1 - p END, 1e-7), 1 - 1e-7) AS chosen
@@ -529,7 +530,7 @@ FROM (
       SELECT id, i, pixels,
              i // 8 - ({_unit("dy")} * 2 - 1) * 2.0::DOUBLE AS y,
              i % 8 - ({_unit("dx")} * 2 - 1) * 2.0::DOUBLE AS x
-      FROM rasters CROSS JOIN range(64) t(i))))
+      FROM (SELECT id, pixels, unnest(range(64)) AS i FROM rasters))))
 GROUP BY id"""),
         "upsample": _with(RASTERS, f"""
 SELECT id, {_joined('''list_transform(range(576),
@@ -547,7 +548,7 @@ rows_of AS (SELECT label, prediction FROM predictions WHERE model = 'long text')
 per AS (
   SELECT c, count(*) FILTER (label = c AND prediction = c) AS hits,
          count(*) FILTER (label = c) AS support, count(*) FILTER (prediction = c) AS predicted
-  FROM rows_of CROSS JOIN (VALUES (0), (1)) k(c) GROUP BY c),
+  FROM (SELECT label, prediction, unnest([0, 1]) AS c FROM rows_of) GROUP BY c),
 scores AS (
   SELECT *, CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted END AS p,
          CASE WHEN support = 0 THEN 0 ELSE hits / support END AS r,
