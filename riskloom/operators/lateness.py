@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import lookup_join
-from riskloom.operators.running import running
+from riskloom.operators.running import MAX_GROUP, running
 
 
 def late_rows(
-    events: DataFrame, batch: str, event_time: str, delay: str, block: int = 1000
+    events: DataFrame,
+    batch: str,
+    event_time: str,
+    delay: str,
+    block: int = 1000,
+    max_group: int = MAX_GROUP,
 ) -> DataFrame:
     """Rows per arrival batch that lie behind the watermark reached by the earlier batches.
 
@@ -20,7 +25,7 @@ def late_rows(
     tops = events.groupBy(batch).agg(F.max(event_time).alias("_top"))
     marks = running(
         tops, [], batch, F.col("_top"), block, F.max, F.greatest,
-        include_current=False, alias="_seen",
+        include_current=False, alias="_seen", max_group=max_group,
     ).select(batch, (F.col("_seen") - F.expr(f"INTERVAL {delay}")).alias("watermark"))
     late = F.col(event_time) < F.col("watermark")
     return (

@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_GROUP = 1_000_000
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -21,27 +24,28 @@ def running(
     descending: bool = False,
     include_current: bool = True,
     alias: str = "running",
+    max_group: int = MAX_GROUP,
 ) -> DataFrame:
     """``combine(value)`` over all rows of the same keys up to the current one.
 
-    ``order`` is an integer column. Rows are cut into blocks of ``block`` consecutive order
-    numbers: a window runs inside each block, a second one runs over the block totals, and both
-    results are merged. A group of any size is thus spread over as many tasks as it has blocks.
+    Groups are counted first. As long as none has more than ``max_group`` rows one window does.
+    Otherwise rows are cut into blocks of ``block`` consecutive numbers of the integer column
+    ``order``: a window runs inside each block, a second one over the block totals, and both
+    results are merged, so that a group of any size is spread over as many tasks as it has blocks.
     """
     keys = list(keys)
     direction = F.desc if descending else F.asc
     stop = Window.currentRow if include_current else -1
-    inner = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(direction(order))
-        .rowsBetween(Window.unboundedPreceding, stop)
-    )
-    outer = (
-        Window.partitionBy(*keys)
-        .orderBy(direction("_block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    blocks = df.withColumn("_block", F.floor(F.col(order) / block)).withColumn("_value", value)
+    start = Window.unboundedPreceding
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= max_group:
+        whole = Window.partitionBy(*keys).orderBy(direction(order)).rowsBetween(start, stop)
+        return df.withColumn(alias, combine(value).over(whole))
+
+    inner = Window.partitionBy(*keys, "_block").orderBy(direction(order)).rowsBetween(start, stop)
+    outer = Window.partitionBy(*keys).orderBy(direction("_block")).rowsBetween(start, -1)
+    number = F.expr(f"`{order}` div {block}")
+    blocks = df.withColumn("_block", number).withColumn("_value", value)
     before = (
         blocks.groupBy(*keys, "_block")
         .agg(combine("_value").alias("_total"))

@@ -90,10 +90,12 @@ def test_latest_by_key(spark):
 
 @pytest.mark.parametrize("block", [1, 3, 1000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_running_total_over_blocks(spark, block, descending):
+@pytest.mark.parametrize("max_group", [1, 1000])
+def test_running_total_over_blocks(spark, block, descending, max_group):
     data = [(k, t, (t * 7) % 5) for k in ("a", "b", None) for t in (0, 1, 2, 5, 9, 10, 11, 40)]
     df = spark.createDataFrame(data, "k string, t bigint, v bigint")
-    got = running(df, ["k"], "t", F.col("v"), block, descending=descending).collect()
+    got = running(df, ["k"], "t", F.col("v"), block, descending=descending,
+                  max_group=max_group).collect()
     assert len(got) == len(data)
     for row in got:
         same = [(t, v) for k, t, v in data if k == row.k]
