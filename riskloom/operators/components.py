@@ -2,8 +2,9 @@
 
 Method: Kiveris et al., "Connected Components in MapReduce and Beyond" (2014). A step replaces
 every edge by one to the smallest neighbour; the edge count never grows and the graph becomes a
-set of stars, whose centres are the components, after O(log^2 n) rounds. Each round is written to
-the checkpoint folder, so neither lineage nor a lost executor makes it run again.
+set of stars, whose centres are the components, after O(log^2 n) rounds. Every second round is
+written to the checkpoint folder (every step, once the graph is large), so neither lineage nor a
+lost executor makes the work before it run again.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from riskloom.operators.graph import vertex_key
 from riskloom.operators.joins import MIN_HOT_ROWS, fits_broadcast, hot_keys, hot_split_join
 from riskloom.session import ensure_checkpoint_dir
 
+ROUNDS = 2
+
 
 def _with_smallest(links: DataFrame, n_links: int, min_hot_rows: int) -> DataFrame:
     """Add to each (u, v) the smallest v of its u, called m.
@@ -95,24 +98,29 @@ def _shape(edges: DataFrame) -> tuple[int, bool]:
 
 
 def star_labels(
-    edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS, checkpoint_every: int = 1
+    edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS, rounds: int = ROUNDS
 ) -> DataFrame:
-    """(u, v) with numeric ids to (u, root): every vertex but the roots, with its smallest member."""
+    """(u, v) with numeric ids to (u, root): every vertex but the roots, with its smallest member.
+
+    ``rounds`` pairs of steps run before their result is written and looked at.
+    """
     ensure_checkpoint_dir(edges.sparkSession)
-    oriented = edges.filter("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
+    current = (
+        edges.filter("u <> v")
+        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        .checkpoint()
     )
-    current = oriented.checkpoint()
     n_edges, done = _shape(current)
-    step = 0
     while not done:
-        step += 1
-        current = _large_star(current, n_edges, min_hot_rows)
-        if n_edges > min_hot_rows:
-            # The small-star step will read it several times.
-            current = current.checkpoint()
-        current = _small_star(current, n_edges, min_hot_rows)
-        if step % checkpoint_every == 0:
+        for _ in range(rounds):
+            current = _large_star(current, n_edges, min_hot_rows)
+            if n_edges > min_hot_rows:
+                # The next step reads it several times to find and treat the hubs.
+                current = current.checkpoint()
+            current = _small_star(current, n_edges, min_hot_rows)
+            if n_edges > min_hot_rows:
+                current = current.checkpoint()
+        if n_edges <= min_hot_rows:
             current = current.checkpoint()
         n_edges, done = _shape(current)
     return current.select("u", F.col("v").alias("root"))
@@ -122,7 +130,7 @@ def connected_components(
     vertices: DataFrame,
     edges: DataFrame,
     min_hot_rows: int = MIN_HOT_ROWS,
-    checkpoint_every: int = 1,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """Add ``component`` to the vertices: the smallest ``type:id`` among the members.
 
@@ -157,7 +165,7 @@ def connected_components(
     left = names.select(F.col("key").alias("a"), F.col("n").alias("u"))
     right = names.select(F.col("key").alias("b"), F.col("n").alias("v"))
     linked = named(named(pairs, left, "a", pairs), right, "b", pairs)
-    stars = star_labels(linked.select("u", "v"), min_hot_rows, checkpoint_every)
+    stars = star_labels(linked.select("u", "v"), min_hot_rows, rounds)
 
     rooted = numbered.join(stars.withColumnRenamed("u", "n"), "n", "left").select(
         "tipo", "id", F.coalesce("root", "n").alias("root")

@@ -54,7 +54,7 @@ def test_components_against_union_find(spark, pairs):
 def test_long_path(spark):
     chain = [(str(i), str(i)) for i in range(60)] + [(str(i + 1), str(i)) for i in range(59)]
     random.Random(1).shuffle(chain)
-    check(spark, chain, checkpoint_every=2)
+    check(spark, chain, rounds=1)
 
 
 def test_hubs_are_taken_out_of_the_shuffle(spark, monkeypatch):
