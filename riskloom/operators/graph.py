@@ -14,6 +14,7 @@ COUNTRY = "pais"
 ADDRESS = "ip"
 PAYMENT_EDGE = "pago"
 VISIT_EDGE = "visita"
+ALL = "TODOS"
 
 
 def vertex_key(tipo: Column, node: Column) -> Column:
@@ -97,3 +98,7 @@ def hot_nodes(edge_rows: DataFrame, n: int = 15) -> DataFrame:
         .drop("ranking")
         .select("id", "degree", "tipo")
     )
+
+
+def of_type(nodes: DataFrame, tipo: str = ALL) -> DataFrame:
+    return nodes if tipo == ALL else nodes.filter(F.col("tipo") == tipo)

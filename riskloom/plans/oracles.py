@@ -214,6 +214,18 @@ footers AS (
   FROM picks GROUP BY query_id)
 """
 
+FILE_LISTS = """,
+files AS (
+  SELECT DISTINCT project_id, regexp_extract(source, '[^/]*$') AS file_name FROM docs
+  WHERE (source LIKE '%.pdf' OR source LIKE '%.txt') AND length(text) > 0
+    AND project_id <> 'es'),
+file_lists AS (
+  SELECT p.project_id, count(f.file_name) AS n_files, CAST(0 AS INTEGER) AS segment_no,
+         coalesce(string_agg(f.file_name, ', ' ORDER BY f.file_name), 'Ninguno') AS files
+  FROM (SELECT DISTINCT project_id FROM docs) p LEFT JOIN files f USING (project_id)
+  GROUP BY p.project_id)
+"""
+
 RASTERS = """
 rasters AS (
   SELECT vec_id AS id, label,
@@ -380,6 +392,9 @@ FROM documents WHERE lang <> 'es' GROUP BY lang""",
 SELECT id, degree, upper(tipo) AS tipo FROM (
   SELECT *, row_number() OVER (PARTITION BY tipo ORDER BY degree DESC, id) AS r FROM degrees)
 WHERE r <= 15"""),
+        "hot_addresses": _with(GRAPH, """
+SELECT id, degree, 'IP' AS tipo FROM degrees WHERE tipo = 'ip'
+ORDER BY degree DESC, id LIMIT 15"""),
         "connected_components": _recursive(COMPONENTS, "SELECT * FROM members"),
         "fraud_rings": _recursive(COMPONENTS, "SELECT * FROM rings"),
         "ring_lookup": _recursive(
@@ -430,15 +445,7 @@ FROM (SELECT *, {TOKENS} AS n_words FROM documents)""",
         "project_registry": """
 SELECT DISTINCT md5(lang) AS id, lang AS name, '2026-01-01 00:00:00' AS created_at
 FROM documents""",
-        "project_files": _with(DOCUMENTS, """,
-files AS (
-  SELECT DISTINCT project_id, regexp_extract(source, '[^/]*$') AS file_name FROM docs
-  WHERE (source LIKE '%.pdf' OR source LIKE '%.txt') AND length(text) > 0
-    AND project_id <> 'es')
-SELECT p.project_id, count(f.file_name) AS n_files, CAST(0 AS INTEGER) AS segment_no,
-       coalesce(string_agg(f.file_name, ', ' ORDER BY f.file_name), 'Ninguno') AS files
-FROM (SELECT DISTINCT project_id FROM docs) p LEFT JOIN files f USING (project_id)
-GROUP BY p.project_id""".lstrip()),
+        "project_files": _with(DOCUMENTS + FILE_LISTS, "SELECT * FROM file_lists"),
         "history_window": f"""
 SELECT *, running_tokens > 200 AS to_summarise FROM (
   SELECT conv_id, turn, role, tokens,
@@ -464,12 +471,15 @@ SELECT q.query_id, q.project_id,
                  || 'archivos en mi base RAG. Pide que suban fuentes (documentos).'
             ELSE f.footer END AS answer
 FROM questions q LEFT JOIN footers f USING (query_id)"""),
-        "prompt_messages": _with(picks + CONTEXTS + REMEMBERED, """
+        "prompt_messages": _with(picks + CONTEXTS + FILE_LISTS + REMEMBERED, """
 SELECT query_id, CAST(0 AS INTEGER) AS section, CAST(0 AS BIGINT) AS position, 'system' AS role,
        'Responde solo con datos del contexto.' || chr(10) || chr(10) || 'Contexto:' || chr(10)
          || coalesce(context, '') AS content
 FROM questions LEFT JOIN contexts USING (query_id)
 UNION ALL
+SELECT query_id, 0, 1, 'system', 'ARCHIVOS DISPONIBLES EN ESTE PROYECTO: ' || files
+FROM questions JOIN file_lists USING (project_id)
+UNION ALL
 SELECT conv_id, 1, turn, role, text FROM earlier WHERE upto <= 200
 UNION ALL
 SELECT query_id, 2, turn, 'user', question FROM questions"""),

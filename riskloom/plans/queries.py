@@ -245,8 +245,9 @@ def late_rows(spark, folder):
 
 
 def _stream(spark, folder, name):
+    """A table as a stream of files; the pattern fits one file as well as a folder of them."""
     schema = views.table(spark, folder, name).schema
-    return file_events(spark, folder, schema, name_filter=f"{name}.parquet")
+    return file_events(spark, f"{folder}/{name}[.]parquet", schema)
 
 
 @register
@@ -390,6 +391,11 @@ def hot_nodes(spark, folder):
     return graph.hot_nodes(_graph(spark, folder)[1])
 
 
+@register
+def hot_addresses(spark, folder):
+    return graph.of_type(graph.hot_nodes(_graph(spark, folder)[1]), "IP")
+
+
 def _rings(spark, folder):
     vertices, edges = _graph(spark, folder)
     return rings.ring_members(components_of(vertices, edges)), edges
@@ -572,7 +578,9 @@ def prompt_messages(spark, folder):
     questions = views.questions(spark, folder)
     contexts = ret.context_table(_retrieved(spark, folder))
     messages = views.table(spark, folder, "conversations")
-    return conversations.prompt_messages(questions, messages, contexts, INSTRUCTIONS, limit=200)
+    return conversations.prompt_messages(
+        questions, messages, contexts, project_files(spark, folder), INSTRUCTIONS, limit=200
+    )
 
 
 @register

@@ -9,6 +9,7 @@ from riskloom.functions import text as txt
 from riskloom.functions.splitting import split_text
 from riskloom.operators import chunking, conversations
 
+FILES = conversations.FILES_HEADING
 ALPHABET = "ab \n\t é😀"
 
 
@@ -137,12 +138,18 @@ def test_last_questions_and_prompts(spark):
     history = messages(spark, sizes)
     asked = conversations.last_questions(history).withColumnRenamed("conv_id", "query_id")
     assert {(r.query_id, r.turn) for r in asked.collect()} == {(1, 2), (2, 0)}
+    asked = asked.withColumn("project_id", F.when(F.col("query_id") == 1, "p").otherwise("big"))
+    files = spark.createDataFrame(
+        [("p", 2, 0, "a, b")] + [("big", 2500, i, "many names") for i in range(3)],
+        "project_id string, n_files bigint, segment_no int, files string",
+    )
     contexts = spark.createDataFrame([(1, "CTX")], "query_id bigint, context string")
-    got = conversations.prompt_messages(asked, history, contexts, "Instr: ", limit=2)
+    got = conversations.prompt_messages(asked, history, contexts, files, "Instr: ", limit=2)
     rows = got.orderBy("query_id", "section", "position").collect()
     assert [(r.query_id, r.role, r.content.strip()) for r in rows] == [
-        (1, "system", "Instr: CTX"), (1, "assistant", "w w"), (1, "user", "w w w"),
-        (2, "system", "Instr:"), (2, "user", "w"),
+        (1, "system", "Instr: CTX"), (1, "system", FILES + "a, b"),
+        (1, "assistant", "w w"), (1, "user", "w w w"),
+        (2, "system", "Instr:"), (2, "system", FILES + "2500 archivos"), (2, "user", "w"),
     ]
 
 
