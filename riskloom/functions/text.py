@@ -5,17 +5,16 @@ from pyspark.sql import functions as F
 
 # The characters on which Python's str.split() separates words.
 WHITESPACE = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
-WORD = f"[^{WHITESPACE}]+"
 FRAME_PREFIX = "^data: "
 UNKNOWN_SOURCE = "Documento desconocido"
 
 
 def words(text: Column) -> Column:
     """Array of whitespace-separated words; runs collapse and an empty text has none."""
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(text, WHITESPACE), "")
 
 
 def word_count(text: Column) -> Column:

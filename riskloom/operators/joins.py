@@ -110,7 +110,8 @@ def hot_split_join(
 
 def _salted_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str) -> DataFrame:
     """For a stream, whose key counts are unknown: spread each key over several partitions."""
-    salt = F.pmod(F.xxhash64(*fact.columns), F.lit(STREAM_SALTS)).cast("int")
+    # Seeded, hence the same when a task is run again; identical rows get different salts.
+    salt = F.floor(F.rand(17) * STREAM_SALTS).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1))).alias("_salt")
     return (
         fact.withColumn("_salt", salt)

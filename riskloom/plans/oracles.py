@@ -326,7 +326,7 @@ SELECT CASE WHEN NOT flag_ataque THEN tx_id END AS tx_id,
        CASE WHEN NOT flag_ataque THEN currency END AS currency,
        CASE WHEN NOT flag_ataque THEN card_country END AS card_country,
        CASE WHEN NOT flag_ataque THEN method END AS method,
-       CASE WHEN NOT flag_ataque THEN flag_ataque END AS flag_ataque
+       CASE WHEN NOT flag_ataque THEN CAST(flag_ataque AS VARCHAR) END AS flag_ataque
 FROM payments"""),
         "payment_rejects": _with(PAYMENTS, """
 SELECT CASE WHEN flag_ataque THEN 'rejected' ELSE 'kept' END AS outcome, count(*) AS n

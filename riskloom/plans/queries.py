@@ -148,7 +148,8 @@ def _payment_lines(spark, folder):
 
 @register
 def decode_events_json(spark, folder):
-    return src.decode_json(_payment_lines(spark, folder), schemas.PAYMENT)
+    decoded = src.decode_json(_payment_lines(spark, folder), schemas.PAYMENT)
+    return decoded.withColumn("flag_ataque", F.col("flag_ataque").cast("string"))
 
 
 @register

@@ -64,6 +64,13 @@ def test_hubs_are_taken_out_of_the_shuffle(spark, monkeypatch):
     check(spark, hub, min_hot_rows=10)
 
 
+def test_graph_without_edges(spark):
+    edges = spark.createDataFrame([], EDGE)
+    alone = spark.createDataFrame([("ip", "a"), ("pais", "ES")], "tipo string, id string")
+    assert labels(connected_components(alone, edges)) == {"ip:a": "ip:a", "pais:ES": "pais:ES"}
+    assert connected_components(alone.limit(0), edges).count() == 0
+
+
 def test_same_id_of_two_types_stays_apart(spark):
     check(spark, [("a", "b"), ("c", "a")])
 
