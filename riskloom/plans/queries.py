@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom import schemas
 from riskloom.functions import rasters as ras

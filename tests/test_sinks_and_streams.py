@@ -181,3 +181,27 @@ def test_empty_landing_folder_starts_no_batch(spark, tmp_path):
     query = streams.append_files(stream, str(tmp_path / "root"), "none", streams.ONCE)
     query.awaitTermination()
     assert query.lastProgress is None or query.lastProgress["numInputRows"] == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    source = tmp_path / "seen"
+    sink = streams.window_sink(str(tmp_path / "root"))
+
+    def run():
+        visits = file_events(spark, str(source), schemas.VISIT, "json")
+        query = sink.start(vis.window_metrics(visits), streams.ONCE)
+        query.awaitTermination()
+        return sum(
+            state["numRowsDroppedByWatermark"]
+            for progress in query.recentProgress
+            for state in progress["stateOperators"]
+        )
+
+    write_json(source, "1.json", visit_rows([0, 1, 30]))
+    assert run() == 0
+    write_json(source, "2.json", visit_rows([2, 2, 29.5, 40], "late"))
+    # Both rows of minute 2 fall into one partial count before the state is reached.
+    assert run() >= 1
+    table = read_keyed(spark, sink.table, schemas.WINDOW_METRIC, sink.keys)
+    starts = {(r.window_start - START).total_seconds() / 60 for r in table.collect()}
+    assert starts == {0, 1, 29, 30}
