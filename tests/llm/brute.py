@@ -1,0 +1,156 @@
+"""Plain versions of the operators' contracts, one row at a time."""
+
+import hashlib
+import re
+import zlib
+from collections import defaultdict
+
+UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LOWER = str.maketrans(UP, LOW)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def shingles(text, k=5):
+    words = re.findall("[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    if 0 < len(words) < k:
+        return {tuple(words)}
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+
+def jaccard(docs):
+    sets = {i: shingles(t) for i, t in docs}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    held = defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            held[x].add(i)
+    for i, s in sets.items():
+        for j in {j for x in s for j in held[x] if j < i}:
+            both = len(s & sets[j])
+            if 100 * both >= 80 * (len(s) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def exact(docs):
+    groups = defaultdict(list)
+    for i, t in docs:
+        groups[t or ""].append(i)
+    return {i: (max(groups[t or ""]), len(groups[t or ""]), i == max(groups[t or ""]), sha(t or "")) for i, t in docs}
+
+
+BLANK = " \t\n\x0b\x0c\r"
+
+
+def lines(docs):
+    held = defaultdict(set)
+    split = {i: (t or "").split("\n") for i, t in docs}
+    key = lambda line: line.strip(BLANK).translate(LOWER)
+    for i, rows in split.items():
+        for row in rows:
+            if len(key(row)) >= 10:
+                held[key(row)].add(i)
+    out = {}
+    for i, rows in split.items():
+        kept = [r for r in rows if not (len(held.get(key(r), ())) > 1 and min(held[key(r)]) < i)]
+        out[i] = (len(rows), len(rows) - len(kept), sha("\n".join(kept)))
+    return out
+
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+
+
+def licenses(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    starts, labels = [], set()
+    for phrase, label in PHRASES:
+        p = phrase.split()
+        for i in range(len(words) - len(p) + 1):
+            if words[i : i + len(p)] == p:
+                starts.append(i)
+                labels.add(label)
+    return (
+        len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+    )
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def personal(text):
+    text = text or ""
+    found = []
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    for order, (kind, pattern, good) in enumerate((
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 12 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15),
+    )):
+        for m in re.finditer(pattern, text):
+            if good(m.group()):
+                found.append((m.start(), order, kind, m.end()))
+    counts = tuple(sum(f[2] == k for f in found) for k in ("email", "ip", "card", "phone"))
+    listed = [f"{k}:{a}:{b}" for a, _, k, b in sorted(found)]
+    return (*counts, sha(",".join(listed))), listed
+
+
+def contamination(docs, items):
+    windows = defaultdict(set)
+    for item, text in items:
+        words = WORD.findall((text or "").translate(LOWER))
+        n = min(10, len(words))
+        for i in range(len(words) - n + 1 if n else 0):
+            windows[tuple(words[i : i + n])].add(item)
+    lengths = {len(w) for w in windows}
+    out = {}
+    for i, t in docs:
+        words = WORD.findall((t or "").translate(LOWER))
+        hit, own = set(), set()
+        for n in lengths:
+            for k in range(len(words) - n + 1):
+                if (found := windows.get(tuple(words[k : k + n]))):
+                    hit.update(range(k, k + n))
+                    own |= found
+        names = ",".join(sorted(str(x) for x in own))
+        out[i] = (len(words), len(hit), len(own), sha(names), bool(hit))
+    return out
+
+
+RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
+
+
+def url(text, rules=RULES):
+    host = path = ""
+    if text is not None and "://" in text:
+        rest = text.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest).group()
+        path = re.match("[^?#]*", rest[len(host):]).group()
+        host = host.translate(LOWER)
+    fitting = []
+    for rule, verdict in rules:
+        h, slash, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith(slash + p):
+            fitting.append((len(rule), rule, verdict))
+    best = max(fitting, default=(0, None, "allow"))
+    return host, path, best[1], best[2]
+
+
+def crc(ids):
+    return zlib.crc32(ids)
