@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, normalised
+from riskloom.plans.oracles import all_oracles
+from riskloom.plans.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -22,16 +24,16 @@ def db():
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
+    assert set(all_oracles()) <= set(all_queries())
+    assert set(all_queries()) - set(all_oracles()) == {
         "chunks_recursive", "hashed_embeddings", "corpus_search", "trained_heads",
     }
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_oracles()))
 def test_query_equals_sql(spark, db, name):
-    got = entry.queries()[name](spark, FOLDER).toPandas()
-    want = db.sql(entry.oracle_sql()[name]).df()
+    got = all_queries()[name](spark, FOLDER).toPandas()
+    want = db.sql(all_oracles()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert normalised(got) == normalised(want)
 
