@@ -13,6 +13,8 @@ whatever the size of the corpus, are packed best-fit decreasing.
 from __future__ import annotations
 
 import bisect
+import itertools
+import re
 import string
 import zlib
 
@@ -31,24 +33,36 @@ END_ID = 2
 SLACK = 0.03
 MOST_CUTS = 3
 CHUNK_CHARACTERS = 1 << 21
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 _TAIL = "".join(sorted(set(string.punctuation) - set("'")))
+#: Letters that composing leaves alone and whose lower case is one letter.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
 class WordTokenizer:
     """A tokenizer whose words are independent of each other, with a bounded cache of words.
 
-    Words are what blanks and line ends part. Words made of letters only are tokenised many at a
-    time and parted at the tokens that end a word; where the count of those does not fit, and for
-    all other words, each is tokenised alone.
+    Words are what blanks and line ends part. Words of Latin letters, with punctuation after them or
+    not, are tokenised many at a time without it and parted at the tokens that end a word; where
+    the count of those does not fit, and for all other words, each is tokenised alone.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words that normalising leaves as they are and that are one part: the same model
+        # behind a plain split at blanks.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [
+                pre_tokenizers.WhitespaceSplit(),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ]
+        )
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -64,33 +78,24 @@ class WordTokenizer:
     def _encode(self, rows: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
 
-    def _letters(self, stems: list[str]) -> dict[str, list[int]]:
-        groups = [stems[i : i + 200] for i in range(0, len(stems), 200)]
-        found = {}
-        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
-            cuts = np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1
+    def _letters(self, stems: list[str]) -> list[list[int]]:
+        """Ids of lower-case Latin words, many in one call."""
+        found: list[list[int]] = []
+        groups = [stems[i : i + 500] for i in range(0, len(stems), 500)]
+        encoded = self.plain.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, own in zip(groups, encoded):
+            ids = own.ids
+            cuts = (np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1).tolist()
             if len(cuts) == len(group):
-                found |= {w: ids[a:b] for w, a, b in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist())}
+                found += [ids[a:b] for a, b in zip([0, *cuts], cuts)]
             else:
-                found |= dict(zip(group, self._encode(group)))
+                found += self._encode(group)
         return found
 
-    def _learn(self, words: list[str]) -> None:
-        parts, others = [], []
-        for word in words:
-            stem = word.rstrip(_TAIL)
-            if stem.isalpha():
-                parts.append((word, stem.lower() if stem.isascii() else stem, word[len(stem) :]))
-            else:
-                others.append(word)
-        stems = self._letters(list({stem for _, stem, _ in parts}))
-        tails = list({tail for _, _, tail in parts})
-        ends = dict(zip(tails, self._encode(tails)))
-        rows = [(word, stems[stem] + ends[tail]) for word, stem, tail in parts]
-        rows += zip(others, self._encode(others))
+    def _store(self, words: list[str], rows: list[list[int]]) -> None:
         count = len(self.places)
-        sizes = np.array([len(ids) for _, ids in rows], np.int64)
-        flat = np.array([i for _, ids in rows for i in ids], np.uint32)
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        flat = np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(sizes.sum()))
         while count + len(rows) > len(self.sizes):
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
             self.firsts = np.concatenate([self.firsts, np.zeros_like(self.firsts)])
@@ -100,7 +105,29 @@ class WordTokenizer:
         self.firsts[count : count + len(rows)] = self.used + np.cumsum(sizes) - sizes
         self.flat[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        self.places.update((word, count + i) for i, (word, _) in enumerate(rows))
+        self.places.update(zip(words, range(count, count + len(rows))))
+
+    def _known(self, word: str) -> list[int]:
+        at = self.places[word]
+        return self.flat[self.firsts[at] : self.firsts[at] + self.sizes[at]].tolist()
+
+    def _learn(self, words: list[str]) -> None:
+        parts, others = [], []
+        for word in words:
+            stem = word.rstrip(_TAIL)
+            if _LATIN.fullmatch(stem):
+                parts.append((word, stem.lower(), word[len(stem) :]))
+            else:
+                others.append(word)
+        stems = list({stem for _, stem, _ in parts}.difference(self.places))
+        fresh = dict(zip(stems, self._letters(stems)))
+        tails = list({tail for _, _, tail in parts})
+        ends = dict(zip(tails, self._encode(tails)))
+        self._store(stems, list(fresh.values()))
+        parts = [p for p in parts if p[0] not in self.places]
+        rows = [(fresh.get(stem) or self._known(stem)) + ends[tail] for _, stem, tail in parts]
+        self._store([word for word, _, _ in parts], rows)
+        self._store(others, self._encode(others))
 
     def ids(self, rows: list[str]) -> list[np.ndarray]:
         """The token ids of each text."""
