@@ -37,11 +37,11 @@ class PuPolicy:
     hash of the document id. ``folds`` keeps the documents whose crc32(id) is divisible by it out.
     """
 
-    most_positive: int = 6000
-    most_unlabelled: int = 12000
+    most_positive: int = 4000
+    most_unlabelled: int = 8000
     folds: int = 5
     models: int = 3
-    steps: int = 300
+    steps: int = 200
     rate: float = 0.05
     decay: float = 1e-4
     least_documents: int = 5
@@ -124,15 +124,15 @@ def _telling_words(positive, unlabelled, n_p: int, n_u: int, policy: PuPolicy) -
     return np.sort(best[np.abs(test[best]) > 4])
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, policy: PuPolicy) -> Fitted:
-    """Linear classifiers with the least non-negative risk, by Adam with a seed each."""
-    if not positive or not unlabelled:
+def fit(positive, unlabelled, prior: float, policy: PuPolicy) -> Fitted:
+    """Linear classifiers with the least non-negative risk, by Adam with a seed each.
+
+    Each side is the cells of its texts, the texts' numbers, and their count.
+    """
+    (_, _, n_p), (_, _, n_u) = positive, unlabelled
+    if not n_p or not n_u:
         return Fitted(np.zeros(0, np.int64), np.zeros((policy.models, 0)), np.full(policy.models, -4.0))
-    sides = []
-    for rows in (positive, unlabelled):
-        sizes = [len(r) for r in rows]
-        sides.append((np.concatenate(rows).astype(np.int64), np.repeat(np.arange(len(rows)), sizes)))
-    n_p, n_u = len(positive), len(unlabelled)
+    sides = [side[:2] for side in (positive, unlabelled)]
     chosen = _telling_words(*sides, n_p, n_u, policy)
     column = np.full(CELLS, -1)
     column[chosen] = np.arange(len(chosen))
@@ -149,13 +149,14 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         # Each classifier sees its own draw of the sample.
         p = dense[0][rng.integers(0, n_p, n_p)] if k else dense[0]
         u = dense[1][rng.integers(0, n_u, n_u)] if k else dense[1]
-        w = np.zeros(len(chosen) + 1)
+        w = np.zeros(len(chosen) + 1, np.float32)
         w[-1] = np.log(prior / (1 - prior))
         mean, square = np.zeros_like(w), np.zeros_like(w)
         for step in range(1, policy.steps + 1):
-            at_p, at_u = 1 / (1 + np.exp(-(p @ w))), 1 / (1 + np.exp(-(u @ w)))
-            risk = -np.log1p(-np.minimum(at_u, 1 - 1e-9)).mean()
-            risk += prior * np.log1p(-np.minimum(at_p, 1 - 1e-9)).mean()
+            z_p, z_u = (p @ w).astype(np.float64), (u @ w).astype(np.float64)
+            at_p, at_u = 1 / (1 + np.exp(-z_p)), 1 / (1 + np.exp(-z_u))
+            risk = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
+            at_p, at_u = at_p.astype(np.float32), at_u.astype(np.float32)
             clean = u.T @ at_u / n_u - prior * (p.T @ at_p) / n_p
             if risk >= 0:
                 slope = prior * (p.T @ (at_p - 1)) / n_p + clean
@@ -164,7 +165,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
             slope = slope + policy.decay * np.append(w[:-1], 0)
             mean = 0.9 * mean + 0.1 * slope
             square = 0.999 * square + 0.001 * slope * slope
-            w -= policy.rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+            w -= np.float32(policy.rate) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         weights[k], intercepts[k] = w[:-1], w[-1]
     return Fitted(chosen, weights, intercepts)
 
@@ -196,10 +197,19 @@ def train(documents: DataFrame, labels: DataFrame, policy: PuPolicy = PuPolicy()
         .toArrow()
     )
     kinds = rows.column("kind").to_numpy()
-    lists = [np.asarray(x, np.int64) for x in rows.column("cells").combine_chunks().to_numpy(zero_copy_only=False)]
+    cells = rows.column("cells").combine_chunks()
+    owner = np.repeat(np.arange(len(kinds)), np.diff(cells.offsets.to_numpy()))
+    flat = cells.flatten().to_numpy()
+
+    def side(kind: int) -> tuple[np.ndarray, np.ndarray, int]:
+        chosen = kinds == kind
+        number = np.cumsum(chosen) - 1
+        inside = chosen[owner]
+        return flat[inside], number[owner[inside]], int(chosen.sum())
+
     return fit(
-        [x for x, kind in zip(lists, kinds) if kind == 1],
-        [x for x, kind in zip(lists, kinds) if kind == 0],
+        side(1),
+        side(0),
         prior,
         policy,
     )
