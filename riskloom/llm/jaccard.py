@@ -9,14 +9,18 @@ in a segment signature.
 for the one below it, if a partner may lie there.
 
 *Allocation.* Each segment of a document gets a budget of differences: -1 (no signature) if it is
-empty or its content is frequent in the corpus, 0 (signature of its subset) for the first H + 1
+empty or its subset is frequent in the corpus, 0 (signature of the subset) for the first H + 1
 others. The number of segments of a band is the one whose expected number of signatures is
-smallest. Documents that cannot spend H + 1 this way sign for frequent subsets as well, and those
-with too few filled segments also for their empty ones and for every one-deletion neighbour
-(budget +1). Both partners of a pair that needs such signatures write them, so no link is lost.
+smallest. A document without H + 1 rare segments gets a budget of +1 (signatures of the one-deletion
+neighbours too) where none of the neighbours is frequent. Only those that still fall short, as a
+rule members of large groups of near copies, sign for frequent subsets as well, and those with too
+few filled segments for all neighbours and empty segments. Both partners of a pair that needs such
+signatures write them, so no link is lost.
 
 *Verification.* Of the documents that meet in a signature, each is first compared with the one it
-meets most often. Then members of a signature that still lie in different components are compared.
+meets most often. Then the strays of a large component (documents that meet it in signatures, but
+lie outside) are compared with a few of its members. At last all members of a signature that still
+lie in different components are compared, those of large components in blocks.
 A histogram of the hashes bounds the difference from below and refutes most chance meetings;
 what remains is compared shingle by shingle (as 64-bit hashes).
 
@@ -46,16 +50,22 @@ PERCENT = 80
 BAND_RATIO = 1.5
 #: One document of so many is looked at to find frequent subsets; so many meetings make one.
 SAMPLE_SHARE = 32
-FREQUENT = 8
-MOST_FREQUENT = 50_000
+FREQUENT = 3
+MOST_FREQUENT = 1 << 20
 #: Signatures that only documents without enough rare segments write are dealt to so many groups.
 SALTS = 64
 BUCKETS = 64
+#: A component of so many documents is a family: its strays are compared with a few members first
+#: (so many in each of at most so many rounds), and then in blocks of so many bytes of shingles.
+FAMILY = 256
+PIVOTS = 6
+ROUNDS = 2
+BLOCK_BYTES = 1 << 18
 NULL_ID = -(1 << 63)
 
 _SEGMENT = np.uint64(0x8CB92BA72F3D8DD7)
 _BAND = np.uint64(0xC2B2AE3D27D4EB4F)
-_KIND = np.uint64(0x165667B19E3779F9)
+_KINDS = np.array([0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
 class Bands:
@@ -167,7 +177,7 @@ def sign(
 ) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Signatures of documents, the documents' numbers, and whether only some documents write them.
 
-    ``everything`` signs for all filled segments, to count them.
+    ``everything`` signs for all filled segments and their one-deletion neighbours, to count them.
     """
     sizes = np.bincount(owner, minlength=n_docs)
     starts_of = np.cumsum(sizes) - sizes
@@ -187,42 +197,65 @@ def sign(
         doc, part = d[at], segment[at]
         base = texts.mix(band[doc].astype(np.uint64) * _BAND + part * _SEGMENT)
         plain = texts.mix(total + base)
+        group = np.cumsum(new) - 1
+        several = np.diff(np.append(at, len(u))) > 1
+
+        def neighbours(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Signatures of the segments without one shingle, and the segments' numbers."""
+            g = group[chosen]
+            return texts.mix(total[g] - v[chosen] + base[g]), g
+
         if everything:
             yield plain, doc, 0
+            fewer, g = neighbours(several[group])
+            yield fewer, doc[g], 0
             continue
-        rare = np.ones(len(plain), bool)
-        if len(frequent):
-            place = np.minimum(np.searchsorted(frequent, plain), len(frequent) - 1)
-            rare = frequent[place] != plain
-        running = np.cumsum(rare)
+        rare = ~_among(frequent, plain)
         first = np.searchsorted(doc, np.arange(n_docs))
-        before = np.concatenate([[0], running])[first]
-        n_rare = np.bincount(doc, rare, n_docs)
         n_filled = np.bincount(doc, minlength=n_docs)
-        chosen = rare & (running - before[doc] <= needed[doc])
+
+        def rank(chosen: np.ndarray) -> np.ndarray:
+            running = np.cumsum(chosen)
+            return running - np.concatenate([[0], running])[first][doc]
+
+        n_rare = np.bincount(doc, rare, n_docs)
+        chosen = rare & (rank(rare) <= needed[doc])
         yield plain[chosen], doc[chosen], 0
 
         lacking = here & (n_rare < needed)
         if not lacking.any():
             continue
-        chosen = lacking[doc]
-        yield texts.mix(plain[chosen] + _KIND), doc[chosen], 1
-
-        sparse = here & (n_filled < needed)
+        fewer, g = neighbours(lacking[d] & several[group])
+        known = _among(frequent, fewer)
+        safe = rare & several & (np.bincount(g, known, len(at)) == 0)
+        covered = lacking & (n_rare + np.bincount(doc, safe, n_docs) >= needed)
+        chosen = rare & lacking[doc]
+        yield texts.mix(plain[chosen] + _KINDS[0]), doc[chosen], 0
+        yield texts.mix(fewer[~known] + _KINDS[0]), doc[g[~known]], 0
+
+        lacking &= ~covered
+        chosen = lacking[doc] & (rank(np.ones(len(doc), bool)) <= needed[doc])
+        yield texts.mix(plain[chosen] + _KINDS[1]), doc[chosen], 1
+
+        sparse = lacking & (n_filled < needed)
         if not sparse.any():
             continue
-        second = _KIND + _KIND
         chosen = sparse[doc]
-        yield texts.mix(plain[chosen] + second), doc[chosen], 1
-        group = np.cumsum(new) - 1
-        chosen = sparse[d]
-        g = group[chosen]
-        yield texts.mix(texts.mix(total[g] - v[chosen] + base[g]) + second), doc[g], 1
+        yield texts.mix(plain[chosen] + _KINDS[2]), doc[chosen], 1
+        fewer, g = neighbours(sparse[d])
+        yield texts.mix(fewer + _KINDS[2]), doc[g], 1
         for x in np.flatnonzero(sparse):
             filled = part[first[x] : first[x] + n_filled[x]]
             empty = np.setdiff1d(np.arange(segments[x], dtype=np.uint64), filled)
             bare = texts.mix(band[[x]].astype(np.uint64) * _BAND + empty * _SEGMENT)
-            yield texts.mix(texts.mix(bare) + second), np.full(len(empty), x), 1
+            yield texts.mix(texts.mix(bare) + _KINDS[2]), np.full(len(empty), x), 1
+
+
+def _among(frequent: np.ndarray, found: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(found), bool)
+    place = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+    return frequent[place] == found
 
 
 def signatures(
@@ -258,16 +291,16 @@ def signatures(
 def frequent_signatures(docs: DataFrame, words: int, percent: int) -> list[int]:
     """Signatures that many documents share, by a fixed share of the documents."""
     some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_SHARE)) == 0)
-    return [
-        row.signature
-        for row in signatures(some, [], words, percent, everything=True)
+    found = (
+        signatures(some, [], words, percent, everything=True)
         .groupBy("signature")
         .count()
         .filter(F.col("count") >= FREQUENT)
         .orderBy(F.desc("count"), "signature")
         .limit(MOST_FREQUENT)
-        .collect()
-    ]
+        .select("signature")
+    )
+    return found.toArrow().column(0).to_pylist()
 
 
 def _refuted(batches, percent: int):
@@ -305,6 +338,22 @@ def _agreeing(batches, percent: int):
         ).filter(pa.array(keep, pa.bool_()))
 
 
+def _whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """(doc_id, shingles) of some documents, ascending 64-bit hashes."""
+
+    def sets(batches):
+        for batch in batches:
+            for own, hashes, owner in _sets(batch, words):
+                cuts = np.searchsorted(owner, np.arange(len(own) + 1))
+                blobs = [hashes[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(own))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own, pa.int64()), pa.array(blobs, pa.binary())], ["doc_id", "shingles"]
+                )
+
+    some = lookup_join(docs, staged(ids, "jaccard-ids"), ["doc_id"], "left_semi")
+    return some.mapInArrow(sets, "doc_id long, shingles binary")
+
+
 def verified(
     pairs: DataFrame, docs: DataFrame, known: DataFrame, words: int, percent: int
 ) -> DataFrame:
@@ -330,25 +379,7 @@ def verified(
     )
     unequal = left.filter(~F.col("same")).select("a", "b")
     ids = unequal.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
-    def sets(batches):
-        for batch in batches:
-            for own, hashes, owner in _sets(batch, words):
-                cuts = np.searchsorted(owner, np.arange(len(own) + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(own, pa.int64()),
-                        pa.array(
-                            [hashes[cuts[i] : cuts[i + 1]].tobytes() for i in range(len(own))],
-                            pa.binary(),
-                        ),
-                    ],
-                    ["doc_id", "shingles"],
-                )
-
-    whole = lookup_join(docs, staged(ids, "jaccard-ids"), ["doc_id"], "left_semi").mapInArrow(
-        sets, "doc_id long, shingles binary"
-    )
+    whole = _whole_sets(docs, ids, words)
     compared = (
         unequal.join(whole.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         .join(whole.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
@@ -390,8 +421,8 @@ def _first_pairs(met: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of one signature that lie in different components."""
+def _torn(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the signatures that meet several components, with their own and the largest."""
     members = (
         met.select("signature", "doc_id")
         .join(labels.withColumnRenamed("u", "doc_id"), "doc_id", "left")
@@ -399,23 +430,122 @@ def _cross_pairs(met: DataFrame, labels: DataFrame) -> DataFrame:
         .distinct()
     )
     shares = members.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n"))
-    torn = (
+    parts = (
         shares.groupBy("signature")
-        .agg(F.max(F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        .agg(
+            F.max(F.struct("n", "root")).alias("main"),
+            F.sum("n").alias("members"),
+            F.count(F.lit(1)).alias("parts"),
+        )
         .filter("parts > 1")
-        .select("signature", F.col("main.root").alias("main"))
+        .select(
+            "signature",
+            F.col("main.root").alias("main"),
+            "members",
+        )
     )
-    inside = staged(members.join(torn, "signature"), "jaccard-torn")
-    strays = inside.filter("root <> main").select(
-        "signature", F.col("doc_id").alias("a"), F.col("root").alias("root_a")
+    return staged(members.join(parts, "signature"), "jaccard-torn")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _everyone(labels: DataFrame) -> DataFrame:
+    """(main, doc_id) of all components of two documents or more."""
+    return labels.select(F.col("root").alias("main"), F.col("u").alias("doc_id")).unionByName(
+        labels.select(F.col("root").alias("main"), F.col("root").alias("doc_id")).distinct()
     )
-    others = inside.select("signature", F.col("doc_id").alias("b"), F.col("root").alias("root_b"))
-    return (
-        strays.join(others, "signature")
-        .filter("root_a <> root_b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+
+
+def _families(torn: DataFrame, everyone: DataFrame) -> DataFrame:
+    """(main, doc_id): strays that meet a family in more rows than it has members."""
+    sizes = everyone.groupBy("main").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= FAMILY)
+    return staged(
+        torn.filter("root <> main")
+        .groupBy("main", "doc_id")
+        .agg(F.sum("members").alias("meetings"))
+        .join(sizes, "main")
+        .filter("meetings > size")
+        .select("main", "doc_id"),
+        "jaccard-families",
+    )
+
+
+def _pivot_pairs(families: DataFrame, everyone: DataFrame, turn: int) -> DataFrame:
+    """The strays of each family with a few of its members and a few of the other strays."""
+    lot = F.xxhash64("doc_id", F.lit(turn))
+    inside = everyone.withColumn("stray", F.lit(False)).unionByName(families.withColumn("stray", F.lit(True)))
+    pivots = (
+        inside.groupBy("main", "stray", F.pmod(lot, F.lit(PIVOTS)))
+        .agg(F.min(F.struct(lot.alias("lot"), "doc_id")).alias("p"))
+        .select("main", F.col("p.doc_id").alias("b"))
     )
+    pairs = families.select("main", F.col("doc_id").alias("a")).join(pivots, "main").filter("a <> b")
+    return _ordered(pairs)
+
+
+def _block_links(
+    families: DataFrame, everyone: DataFrame, docs: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """Links of the families' strays with members and with each other, block by block."""
+    members = everyone.join(families.select("main").distinct(), "main", "left_semi")
+    inside = members.withColumn("stray", F.lit(False)).unionByName(families.withColumn("stray", F.lit(True)))
+    ids = inside.select("doc_id").distinct()
+    held = staged(inside.join(_whole_sets(docs, ids, words), "doc_id"), "jaccard-family-sets")
+    counts = held.groupBy("main", "stray").agg(
+        F.ceil(F.sum(F.octet_length("shingles") + 64) / BLOCK_BYTES).alias("blocks")
+    )
+    packed = (
+        held.join(counts, ["main", "stray"])
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
+        .groupBy("main", "stray", "block")
+        .agg(F.collect_list("doc_id").alias("ids"), F.collect_list("shingles").alias("sets"))
+    )
+    packed = staged(packed, "jaccard-blocks")
+    left = packed.filter("stray").select("main", F.col("block").alias("at"), F.col("ids").alias("x"), F.col("sets").alias("p"))
+    right = packed.select("main", "stray", "block", F.col("ids").alias("y"), F.col("sets").alias("q"))
+    pairs = left.join(right, "main").filter("NOT stray OR at <= block").select("x", "p", "y", "q")
+    return staged(
+        pairs.repartition(F.xxhash64("x", "y")).mapInArrow(lambda x: _linked_in_blocks(x, percent), "a long, b long"),
+        "jaccard-links",
+    )
+
+
+def _linked_in_blocks(batches, percent: int):
+    for batch in batches:
+        for x, p, y, q in zip(*(batch.column(i) for i in range(4))):
+            a, b = np.array(x.as_py(), np.int64), np.array(y.as_py(), np.int64)
+            left, right = ([np.frombuffer(v, np.uint64) for v in side.as_py()] for side in (p, q))
+            shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+            both = _held(left, shared) @ _held(right, shared).T
+            sizes = np.add.outer([len(v) for v in left], [len(v) for v in right])
+            i, j = np.nonzero((both > 0) & (100 * both >= percent * (sizes - both)))
+            i, j = i[a[i] != b[j]], j[a[i] != b[j]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a[i], b[j])), pa.array(np.maximum(a[i], b[j]))], ["a", "b"]
+            )
+
+
+def _held(sets: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
+    """Which of the shared shingles each set holds."""
+    out = np.zeros((len(sets), len(shared)), np.float32)
+    for row, own in zip(out, sets):
+        row[np.isin(shared, own, assume_unique=True)] = 1
+    return out
+
+
+def _cross_pairs(torn: DataFrame, families: DataFrame) -> DataFrame:
+    """Members of one signature that lie in different components, but for strays of the signature's
+    family, which are compared in blocks."""
+    strays = torn.filter("root <> main").join(families, ["main", "doc_id"], "left_anti")
+    others = torn.select("signature", F.col("doc_id").alias("b"), F.col("root").alias("root_b"))
+    pairs = strays.select("signature", F.col("doc_id").alias("a"), "root").join(others, "signature")
+    return _ordered(pairs.filter("root <> root_b"))
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return star_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def jaccard_components(
@@ -433,10 +563,21 @@ def jaccard_components(
     frequent = frequent_signatures(docs, words, percent)
     met = staged(_meetings(signatures(docs, frequent, words, percent)), "jaccard-meetings")
     links = verified(_first_pairs(met), docs, known, words, percent)
-    pairs = _cross_pairs(met, star_labels(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    more = verified(pairs, docs, known, words, percent)
-    every = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = star_labels(every).select(F.col("u").alias("doc_id"), "root")
+    labels = _labels(links)
+    for turn in range(1, ROUNDS + 2):
+        torn, everyone = _torn(met, labels), _everyone(labels)
+        families = _families(torn, everyone)
+        if turn > ROUNDS or families.isEmpty():
+            break
+        more = verified(_pivot_pairs(families, everyone, turn), docs, known, words, percent)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        labels = _labels(links)
+    links = links.unionByName(verified(_cross_pairs(torn, families), docs, known, words, percent))
+    if not families.isEmpty():
+        links = links.unionByName(_block_links(families, everyone, docs, words, percent))
+    labels = _labels(links).select(F.col("u").alias("doc_id"), "root")
     found = F.coalesce("root", "doc_id")
     real = lambda c: F.when(c != NULL_ID, c)
     return known.join(labels, "doc_id", "left").select(
