@@ -55,8 +55,12 @@ def cuts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return ends
 
 
-def recipes(docs: DataFrame) -> DataFrame:
-    """Per row: SHA-256 of the text, its length, and of its chunks in order key and digest."""
+def recipes(docs: DataFrame, key_bits: int = 64) -> DataFrame:
+    """Per row: SHA-256 of the text, its length, and of its chunks in order key and digest.
+
+    Keys of fewer bits collide more often; results stay the same.
+    """
+    most = (1 << key_bits) - 1
 
     def run(batches):
         for batch in batches:
@@ -71,7 +75,7 @@ def recipes(docs: DataFrame) -> DataFrame:
                     sizes.append(len(text))
                     for end in ends.tolist():
                         chunk = raw[at:end]
-                        keys.append(xxhash.xxh3_64_intdigest(chunk))
+                        keys.append(xxhash.xxh3_64_intdigest(chunk) & most)
                         digests.append(hashlib.sha256(chunk).digest())
                         at = end
                     counts.append(len(keys))
@@ -113,7 +117,7 @@ def doubtful_keys(rows: DataFrame) -> DataFrame:
     return chunks.groupBy("key").agg(*extremes).filter(differ).select("key")
 
 
-def exact_duplicates(documents: DataFrame) -> DataFrame:
+def exact_duplicates(documents: DataFrame, key_bits: int = 64) -> DataFrame:
     """Per row of ``documents`` (doc_id, text): ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
     Null counts as an empty text. Of equal texts the largest doc_id stays; a null doc_id is an id
@@ -124,7 +128,7 @@ def exact_duplicates(documents: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    rows = staged(recipes(docs), "recipes")
+    rows = staged(recipes(docs, key_bits), "recipes")
     doubtful = doubtful_keys(rows)
     named = rows.withColumn("recipe", F.col("chunks.key"))
     # As a rule there are none. Their chunks get identifiers from the digest, in their documents only.
