@@ -55,9 +55,10 @@ MOST_FREQUENT = 1 << 20
 #: Signatures that only documents without enough rare segments write are dealt to so many groups.
 SALTS = 64
 BUCKETS = 64
-#: A component of so many documents is a family: its strays are compared with a few members first
-#: (so many in each of at most so many rounds), and then in blocks of so many bytes of shingles.
-FAMILY = 256
+#: Strays that would be listed with so many members of a component's signatures are compared with a
+#: few members first (so many in each of at most so many rounds), and then in blocks of so many
+#: bytes of shingles.
+FAMILY = 2048
 PIVOTS = 6
 ROUNDS = 2
 BLOCK_BYTES = 1 << 18
@@ -459,29 +460,47 @@ def _everyone(labels: DataFrame) -> DataFrame:
 
 
 def _families(torn: DataFrame, everyone: DataFrame) -> DataFrame:
-    """(main, doc_id): strays that meet a family in more rows than it has members."""
-    sizes = everyone.groupBy("main").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= FAMILY)
+    """(main, doc_id, meetings): strays that meet a component and the strays around it in far more
+    rows than it has members."""
+    sizes = everyone.groupBy("main").agg(F.count(F.lit(1)).alias("size"))
     return staged(
         torn.filter("root <> main")
         .groupBy("main", "doc_id")
         .agg(F.sum("members").alias("meetings"))
-        .join(sizes, "main")
-        .filter("meetings > size")
-        .select("main", "doc_id"),
+        .filter(F.col("meetings") >= FAMILY)
+        .join(sizes, "main", "left")
+        .filter("meetings > coalesce(size, 1)")
+        .select("main", "doc_id", "meetings"),
         "jaccard-families",
     )
 
 
+def _inside(families: DataFrame, everyone: DataFrame) -> DataFrame:
+    """(main, doc_id, stray) of the families: the component's members, and its strays."""
+    mains = families.select("main").distinct()
+    members = (
+        everyone.join(mains, "main", "left_semi")
+        .unionByName(mains.withColumn("doc_id", F.col("main")))
+        .distinct()
+    )
+    strays = families.select("main", "doc_id").withColumn("stray", F.lit(True))
+    return members.withColumn("stray", F.lit(False)).unionByName(strays)
+
+
 def _pivot_pairs(families: DataFrame, everyone: DataFrame, turn: int) -> DataFrame:
-    """The strays of each family with a few of its members and a few of the other strays."""
+    """Each stray with a few members and a few other strays of the family it meets most."""
     lot = F.xxhash64("doc_id", F.lit(turn))
-    inside = everyone.withColumn("stray", F.lit(False)).unionByName(families.withColumn("stray", F.lit(True)))
+    closest = (
+        families.groupBy("doc_id")
+        .agg(F.max(F.struct("meetings", "main")).alias("best"))
+        .select(F.col("best.main").alias("main"), "doc_id")
+    )
     pivots = (
-        inside.groupBy("main", "stray", F.pmod(lot, F.lit(PIVOTS)))
+        _inside(closest, everyone).groupBy("main", "stray", F.pmod(lot, F.lit(PIVOTS)))
         .agg(F.min(F.struct(lot.alias("lot"), "doc_id")).alias("p"))
         .select("main", F.col("p.doc_id").alias("b"))
     )
-    pairs = families.select("main", F.col("doc_id").alias("a")).join(pivots, "main").filter("a <> b")
+    pairs = closest.select("main", F.col("doc_id").alias("a")).join(pivots, "main").filter("a <> b")
     return _ordered(pairs)
 
 
@@ -489,8 +508,7 @@ def _block_links(
     families: DataFrame, everyone: DataFrame, docs: DataFrame, words: int, percent: int
 ) -> DataFrame:
     """Links of the families' strays with members and with each other, block by block."""
-    members = everyone.join(families.select("main").distinct(), "main", "left_semi")
-    inside = members.withColumn("stray", F.lit(False)).unionByName(families.withColumn("stray", F.lit(True)))
+    inside = _inside(families, everyone)
     ids = inside.select("doc_id").distinct()
     held = staged(inside.join(_whole_sets(docs, ids, words), "doc_id"), "jaccard-family-sets")
     counts = held.groupBy("main", "stray").agg(
@@ -538,7 +556,7 @@ def _held(sets: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
 def _cross_pairs(torn: DataFrame, families: DataFrame) -> DataFrame:
     """Members of one signature that lie in different components, but for strays of the signature's
     family, which are compared in blocks."""
-    strays = torn.filter("root <> main").join(families, ["main", "doc_id"], "left_anti")
+    strays = torn.filter("root <> main").join(families.select("main", "doc_id"), ["main", "doc_id"], "left_anti")
     others = torn.select("signature", F.col("doc_id").alias("b"), F.col("root").alias("root_b"))
     pairs = strays.select("signature", F.col("doc_id").alias("a"), "root").join(others, "signature")
     return _ordered(pairs.filter("root <> root_b"))
