@@ -32,8 +32,8 @@ END_ID = 2
 #: A rest is cut again if it would leave more than this part of itself empty.
 SLACK = 0.03
 MOST_CUTS = 3
-CHUNK_CHARACTERS = 1 << 21
-CACHE_WORDS = 600_000
+CHUNK_CHARACTERS = 1 << 20
+CACHE_WORDS = 350_000
 
 _TAIL = "".join(sorted(set(string.punctuation) - set("'")))
 #: Letters that composing leaves alone and whose lower case is one letter.

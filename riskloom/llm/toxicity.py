@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import texts
 
-CELLS = 1 << 22
+CELLS = 1 << 20
 #: Bytes at the start of a word that are features beside the whole word.
 PREFIXES = (4, 5, 6)
 
