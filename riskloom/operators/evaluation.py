@@ -16,11 +16,23 @@ def pair_counts(predictions: DataFrame) -> DataFrame:
 
 
 def confusion_matrix(predictions: DataFrame, classes: Sequence[int]) -> DataFrame:
-    """One row per true class, one column per predicted class."""
+    """One row per class, one column per predicted class: the full square of ``classes``.
+
+    ``predicted_other`` counts predictions outside of ``classes``; a label outside of them gets a
+    row of its own, so the cells add up to the number of rows.
+    """
     cells = [
         F.count_if(F.col("prediction") == c).alias(f"predicted_{c}") for c in classes
     ]
-    return predictions.groupBy("label").agg(*cells)
+    known = F.coalesce(F.col("prediction").isin(*classes), F.lit(False))
+    counts = predictions.groupBy("label").agg(*cells, F.count_if(~known).alias("predicted_other"))
+    names = counts.columns[1:]
+    label = counts.schema["label"].dataType
+    listed = predictions.sparkSession.createDataFrame([(c,) for c in classes], "label int")
+    square = listed.select(F.col("label").cast(label)).distinct()
+    return square.unionByName(counts.select("label")).distinct().join(
+        counts.withColumnRenamed("label", "_label"), F.col("label").eqNullSafe(F.col("_label")), "left"
+    ).select("label", *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
 
 
 def _ratio(part: Column, whole: Column) -> Column:

@@ -1,13 +1,12 @@
 """Rings: connected components with more than two members, their triage and their edges.
 
 A component may hold a large share of all vertices, so its members are never gathered into one
-row. Member lists come in segments of about ``SEGMENT`` names; a ring up to that size has exactly
-one segment, which is then its complete list.
+row: at every size a ring is one summary row and one row per member.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.threat import (
@@ -20,15 +19,6 @@ from riskloom.functions.threat import (
 from riskloom.operators.graph import ADDRESS, COUNTRY, USER
 from riskloom.operators.joins import MIN_HOT_ROWS, hot_split_join
 
-SEGMENT = 1000
-
-
-def segment_number(name: Column, total: Column, size: int = SEGMENT) -> Column:
-    """Spread ``total`` names evenly over ``ceil(total / size)`` segments."""
-    head = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(head, F.ceil(total / F.lit(size))).cast("int")
-
-
 def ring_sizes(members: DataFrame, larger_than: int = 2) -> DataFrame:
     return (
         members.groupBy("component")
@@ -48,22 +38,18 @@ def ring_members(
     ).select("component", "num_entidades", "tipo", "id")
 
 
-def fraud_rings(ring_rows: DataFrame, segment_size: int = SEGMENT) -> DataFrame:
-    """Size and sorted member text of each ring, in segments."""
-    segment = segment_number(F.col("id"), F.col("num_entidades"), segment_size)
-    return (
-        ring_rows.withColumn("segment_no", segment)
-        .groupBy("component", "num_entidades", "segment_no")
-        .agg(F.concat_ws(", ", F.array_sort(F.collect_list("id"))).alias("miembros"))
-    )
+def fraud_rings(ring_rows: DataFrame) -> DataFrame:
+    """One row per ring with its size; the members are the rows of ``ring_rows``."""
+    return ring_rows.groupBy("component").agg(F.first("num_entidades").alias("num_entidades"))
 
 
 def ranked_rings(rings: DataFrame) -> DataFrame:
-    return rings.orderBy(F.desc("num_entidades"), "component", "segment_no")
+    return rings.orderBy(F.desc("num_entidades"), "component")
 
 
-def ring_lookup(rings: DataFrame, component: str) -> DataFrame:
-    return rings.filter(F.col("component") == component)
+def ring_lookup(ring_rows: DataFrame, component: str) -> DataFrame:
+    """The members of one ring."""
+    return ring_rows.filter(F.col("component") == component)
 
 
 def ring_severity(ring_rows: DataFrame, policy: ThreatPolicy = ThreatPolicy()) -> DataFrame:
@@ -85,19 +71,24 @@ def ring_severity(ring_rows: DataFrame, policy: ThreatPolicy = ThreatPolicy()) -
 
 
 def triage(
-    rings: DataFrame, severity: DataFrame, show_safe: bool = False
+    ring_rows: DataFrame,
+    severity: DataFrame,
+    show_safe: bool = False,
+    min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """The triage list with its presentation names; quiet rings only on request."""
+    """The triage list, one row per ring and member, with its presentation names (fixed values).
+
+    Quiet rings only on request.
+    """
     levels = severity.select("component", "nivel_amenaza")
-    rows = rings.join(levels, "component")
     if not show_safe:
-        rows = rows.filter(is_dangerous(F.col("nivel_amenaza")))
+        levels = levels.filter(is_dangerous(F.col("nivel_amenaza")))
+    rows = hot_split_join(ring_rows, levels, ["component"], "inner", min_hot_rows=min_hot_rows)
     return rows.select(
         F.col("nivel_amenaza").alias("Severidad"),
         F.col("component").alias("ID Comunidad"),
         F.col("num_entidades").alias("Nº Nodos"),
-        F.col("segment_no").alias("Segmento"),
-        F.col("miembros").alias("Entidades Implicadas"),
+        F.col("id").alias("Entidad Implicada"),
     )
 
 

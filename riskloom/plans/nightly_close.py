@@ -58,4 +58,5 @@ def nightly_close(
     export_csv(graph.hot_nodes(edges), f"{target}/nodos_calientes")
     members = rings.ring_members(connected_components(vertices, edges))
     export_csv(rings.ranked_rings(rings.fraud_rings(members)), f"{target}/redes_detectadas")
+    export_csv(members, f"{target}/redes_miembros")
     return {"payments": n_paid, "visits": n_seen}

@@ -102,14 +102,7 @@ members AS (
 sizes AS (
   SELECT component, count(*) AS num_entidades FROM members GROUP BY component HAVING count(*) > 2),
 ring_rows AS (SELECT m.*, s.num_entidades FROM members m JOIN sizes s USING (component)),
-segmented AS (
-  SELECT *, CAST(('0x' || substr(md5(id), 1, 8))::BIGINT
-         % CAST(ceil(num_entidades / 1000.0) AS BIGINT) AS INTEGER) AS segment_no
-  FROM ring_rows),
-rings AS (
-  SELECT component, num_entidades, segment_no,
-         array_to_string(list_sort(list(id)), ', ') AS miembros
-  FROM segmented GROUP BY ALL),
+rings AS (SELECT DISTINCT component, num_entidades FROM ring_rows),
 severity AS (
   SELECT component, num_entidades,
          CASE WHEN bool_or(contains(upper(id), '10.0.7.') OR contains(upper(id), '10.0.11.'))
@@ -220,7 +213,7 @@ files AS (
   WHERE (source LIKE '%.pdf' OR source LIKE '%.txt') AND length(text) > 0
     AND project_id <> 'es'),
 file_lists AS (
-  SELECT p.project_id, count(f.file_name) AS n_files, CAST(0 AS INTEGER) AS segment_no,
+  SELECT p.project_id, count(f.file_name) AS n_files,
          coalesce(string_agg(f.file_name, ', ' ORDER BY f.file_name), 'Ninguno') AS files
   FROM (SELECT DISTINCT project_id FROM docs) p LEFT JOIN files f USING (project_id)
   GROUP BY p.project_id)
@@ -397,13 +390,18 @@ SELECT id, degree, 'IP' AS tipo FROM degrees WHERE tipo = 'ip'
 ORDER BY degree DESC, id LIMIT 15"""),
         "connected_components": _recursive(COMPONENTS, "SELECT * FROM members"),
         "fraud_rings": _recursive(COMPONENTS, "SELECT * FROM rings"),
+        "ring_members": _recursive(
+            COMPONENTS, "SELECT component, num_entidades, tipo, id FROM ring_rows"
+        ),
         "ring_lookup": _recursive(
-            COMPONENTS, "SELECT * FROM rings WHERE component = 'ip:10.0.1.0'"
+            COMPONENTS,
+            "SELECT component, num_entidades, tipo, id FROM ring_rows "
+            "WHERE component = 'ip:10.0.1.0'",
         ),
         "ring_triage": _recursive(COMPONENTS, """
 SELECT nivel_amenaza AS "Severidad", component AS "ID Comunidad",
-       num_entidades AS "Nº Nodos", segment_no AS "Segmento", miembros AS "Entidades Implicadas"
-FROM rings JOIN severity USING (component, num_entidades)
+       num_entidades AS "Nº Nodos", id AS "Entidad Implicada"
+FROM ring_rows JOIN severity USING (component, num_entidades)
 WHERE nivel_amenaza LIKE '🔴%' OR nivel_amenaza LIKE '🟠%'"""),
         "ring_severity": _recursive(COMPONENTS, "SELECT * FROM severity"),
         "ring_topology": _recursive(COMPONENTS, """
@@ -445,7 +443,9 @@ FROM (SELECT *, {TOKENS} AS n_words FROM documents)""",
         "project_registry": """
 SELECT DISTINCT md5(lang) AS id, lang AS name, '2026-01-01 00:00:00' AS created_at
 FROM documents""",
-        "project_files": _with(DOCUMENTS + FILE_LISTS, "SELECT * FROM file_lists"),
+        "project_files": _with(DOCUMENTS + FILE_LISTS, """
+SELECT l.project_id, l.n_files, coalesce(f.file_name, 'Ninguno') AS file_name
+FROM file_lists l LEFT JOIN files f USING (project_id)"""),
         "history_window": f"""
 SELECT *, running_tokens > 200 AS to_summarise FROM (
   SELECT conv_id, turn, role, tokens,
@@ -550,9 +550,11 @@ FROM rasters"""),
             PREDICTIONS, "SELECT model, id, label, prediction FROM predictions"
         ),
         "confusion_matrix": _with(PREDICTIONS, """
-SELECT label, count(*) FILTER (prediction = 0) AS predicted_0,
-       count(*) FILTER (prediction = 1) AS predicted_1
-FROM predictions WHERE model = 'long text' GROUP BY label"""),
+SELECT c AS label, count(*) FILTER (label = c AND prediction = 0) AS predicted_0,
+       count(*) FILTER (label = c AND prediction = 1) AS predicted_1,
+       count(*) FILTER (label = c AND prediction = 2) AS predicted_2,
+       count(*) FILTER (label = c AND prediction NOT IN (0, 1, 2)) AS predicted_other
+FROM predictions, (VALUES (0), (1), (2)) classes(c) WHERE model = 'long text' GROUP BY c"""),
         "classification_report": _with(PREDICTIONS, """,
 rows_of AS (SELECT label, prediction FROM predictions WHERE model = 'long text'),
 per AS (

@@ -413,14 +413,19 @@ def fraud_rings(spark, folder):
 
 @register
 def ring_lookup(spark, folder):
-    return rings.ring_lookup(rings.fraud_rings(_rings(spark, folder)[0]), "ip:10.0.1.0")
+    return rings.ring_lookup(_rings(spark, folder)[0], "ip:10.0.1.0")
+
+
+@register
+def ring_members(spark, folder):
+    return _rings(spark, folder)[0]
 
 
 @register
 def ring_triage(spark, folder):
     members = _rings(spark, folder)[0]
     severity = rings.ring_severity(members, views.THREATS)
-    return rings.triage(rings.fraud_rings(members), severity)
+    return rings.triage(members, severity)
 
 
 @register
@@ -700,7 +705,7 @@ def argmax_predictions(spark, folder):
 
 @register
 def confusion_matrix(spark, folder):
-    return evaluation.confusion_matrix(_long_text(spark, folder), [0, 1])
+    return evaluation.confusion_matrix(_long_text(spark, folder), [0, 1, 2])
 
 
 @register

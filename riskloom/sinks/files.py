@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.operators.joins import BROADCAST_BYTES, fits_broadcast
-
 
 def overwrite_table(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
@@ -26,10 +24,9 @@ def append_partition(df: DataFrame, path: str, partition: str, gather: bool = Tr
     )
 
 
-def export_csv(df: DataFrame, path: str, single_below: int = BROADCAST_BYTES) -> None:
-    """CSV with header, written by the executors; small tables into one file."""
-    out = df.coalesce(1) if fits_broadcast(df, single_below) else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> None:
+    """CSV with header, written by the executors; the files of a sorted table follow its order."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

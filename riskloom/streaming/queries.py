@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -81,31 +79,15 @@ def append_files(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def first_copies(stream: DataFrame, key: str) -> DataFrame:
-    """Drop copies within each transfer batch of a task.
-
-    It needs no state and no shuffle, and a key with very many copies reaches the stateful step
-    with few of them.
-    """
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.table({"key": batch.column(key), "at": np.arange(batch.num_rows)})
-            firsts = rows.group_by("key").aggregate([("at", "min")])["at_min"]
-            yield batch.take(pa.array(np.sort(firsts.to_numpy())))
-
-    return stream.mapInArrow(keep, stream.schema)
-
-
 def deduplicated(
     stream: DataFrame, key: str, event_time: str, delay: str = "1 minute"
 ) -> DataFrame:
-    """First row per key; state is dropped once the watermark has passed it."""
-    return (
-        first_copies(stream, key)
-        .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark([key])
-    )
+    """One row per key; state is dropped once the watermark has passed it.
+
+    Copies are left to the state store: a copy that is late is dropped as a late row and must not
+    stand for one that is on time.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def start_all(

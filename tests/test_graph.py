@@ -129,35 +129,35 @@ def test_severity_by_members_and_by_text_agree(members):
     ring_rows = rings.ring_members(members)
     got = {r.component: r.nivel_amenaza for r in rings.ring_severity(ring_rows).collect()}
     assert got == LEVELS
-    text = rings.fraud_rings(ring_rows).withColumn(
-        "level", threat.threat_level(F.col("miembros"))
-    )
+    lists = ring_rows.groupBy("component").agg(F.concat_ws(", ", F.collect_list("id")).alias("miembros"))
+    text = lists.withColumn("level", threat.threat_level(F.col("miembros")))
     assert {r.component: r.level for r in text.collect()} == LEVELS
 
 
 def test_triage_list(members):
     ring_rows = rings.ring_members(members, min_hot_rows=1)
     severity = rings.ring_severity(ring_rows)
-    quiet = rings.triage(rings.fraud_rings(ring_rows), severity)
+    quiet = rings.triage(ring_rows, severity, min_hot_rows=1)
     assert quiet.columns == [
-        "Severidad", "ID Comunidad", "Nº Nodos", "Segmento", "Entidades Implicadas"
+        "Severidad", "ID Comunidad", "Nº Nodos", "Entidad Implicada"
     ]
-    assert quiet.count() == 3
-    assert rings.triage(rings.fraud_rings(ring_rows), severity, show_safe=True).count() == 5
+    assert quiet.select("ID Comunidad").distinct().count() == 3
+    everyone = rings.triage(ring_rows, severity, show_safe=True)
+    assert everyone.count() == ring_rows.count()
+    assert everyone.select("ID Comunidad").distinct().count() == 5
     kept = severity.filter(threat.is_dangerous(F.col("nivel_amenaza"), include_safe=True))
     assert kept.count() == 4
 
 
-def test_large_rings_come_in_whole_segments(spark):
-    members = spark.range(5000).select(
+@pytest.mark.parametrize("n", [1001, 5000])
+def test_large_rings_have_the_shape_of_small_ones(spark, n):
+    members = spark.range(n).select(
         F.lit("c").alias("component"), F.lit("ip").alias("tipo"),
         F.concat(F.lit("m"), "id").alias("id"),
     )
-    segments = rings.fraud_rings(rings.ring_members(members, min_hot_rows=100), 1000).collect()
-    assert {r.segment_no for r in segments} == set(range(5))
-    names = [n for r in segments for n in r.miembros.split(", ")]
-    assert sorted(names) == sorted(f"m{i}" for i in range(5000))
-    assert max(len(r.miembros.split(", ")) for r in segments) < 1200
+    ring_rows = rings.ring_members(members, min_hot_rows=100)
+    assert [tuple(r) for r in rings.fraud_rings(ring_rows).collect()] == [("c", n)]
+    assert {r.id for r in rings.ring_lookup(ring_rows, "c").collect()} == {f"m{i}" for i in range(n)}
 
 
 def test_node_types(spark):

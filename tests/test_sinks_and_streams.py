@@ -37,7 +37,7 @@ def test_csv_export_and_missing_export(spark, tmp_path):
     path = str(tmp_path / "csv")
     df = spark.createDataFrame([("ES", 3), ("FR", 1)], schemas.COUNTRY_SUMMARY)
     out.export_csv(df, path)
-    assert len(list((tmp_path / "csv").glob("*.csv"))) == 1
+    assert sum(1 for f in (tmp_path / "csv").glob("*.csv") for _ in f.open()) > len(df.collect())
     back = src.read_csv_or_empty(spark, path, schemas.COUNTRY_SUMMARY)
     assert sorted(map(tuple, back.collect())) == [("ES", 3), ("FR", 1)]
     missing = src.read_csv_or_empty(spark, str(tmp_path / "no"), schemas.COUNTRY_SUMMARY)
@@ -157,6 +157,20 @@ def test_duplicates_are_dropped_within_the_watermark(spark, tmp_path):
     assert spark.read.parquet(f"{root}/once").count() == 4
 
 
+def test_a_late_copy_does_not_hide_one_on_time(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "root")
+
+    def run(name, rows):
+        write_json(source, name, [{"k": k, "ts": f"2026-01-01T{t}"} for k, t in rows])
+        stream = file_events(spark, str(source), "k string, ts timestamp", "json")
+        once = streams.deduplicated(stream, "k", "ts")
+        streams.append_files(once, root, "late", streams.ONCE).awaitTermination()
+
+    run("1.json", [("a", "10:00:00")])
+    run("2.json", [("z", "09:00:00"), ("z", "10:00:30")])
+    assert {r.k for r in spark.read.parquet(f"{root}/late").collect()} == {"a", "z"}
+
+
 @pytest.mark.parametrize("mode", ["archive", "delete"])
 def test_landing_files_are_removed_after_the_commit(spark, tmp_path, mode):
     source, root = tmp_path / "in", str(tmp_path / "root")

@@ -140,16 +140,20 @@ def test_last_questions_and_prompts(spark):
     assert {(r.query_id, r.turn) for r in asked.collect()} == {(1, 2), (2, 0)}
     asked = asked.withColumn("project_id", F.when(F.col("query_id") == 1, "p").otherwise("big"))
     files = spark.createDataFrame(
-        [("p", 2, 0, "a, b")] + [("big", 2500, i, "many names") for i in range(3)],
-        "project_id string, n_files bigint, segment_no int, files string",
+        [("p", 2, "a"), ("p", 2, "b")] + [("big", 5000, f"f{i}") for i in range(5000)],
+        "project_id string, n_files bigint, file_name string",
     )
     contexts = spark.createDataFrame([(1, "CTX")], "query_id bigint, context string")
     got = conversations.prompt_messages(asked, history, contexts, files, "Instr: ", limit=2)
     rows = got.orderBy("query_id", "section", "position").collect()
-    assert [(r.query_id, r.role, r.content.strip()) for r in rows] == [
+    blocks = [r for r in rows if r.query_id == 2 and r.content.startswith(FILES)]
+    assert [r.position for r in blocks] == [1, 2, 3, 4, 5]
+    named = [n for r in blocks for n in r.content.removeprefix(FILES).split(", ")]
+    assert sorted(named) == sorted(f"f{i}" for i in range(5000))
+    assert [(r.query_id, r.role, r.content.strip()) for r in rows if r not in blocks] == [
         (1, "system", "Instr: CTX"), (1, "system", FILES + "a, b"),
         (1, "assistant", "w w"), (1, "user", "w w w"),
-        (2, "system", "Instr:"), (2, "system", FILES + "2500 archivos"), (2, "user", "w"),
+        (2, "system", "Instr:"), (2, "user", "w"),
     ]
 
 
@@ -158,5 +162,5 @@ def test_project_files(spark):
         [("p", "x/b.txt"), ("p", "x/a.txt"), ("p", "x/a.txt")], "project_id string, source string"
     )
     projects = spark.createDataFrame([("p",), ("q",)], "project_id string")
-    got = conversations.project_files(docs, projects).orderBy("project_id").collect()
-    assert [tuple(r) for r in got] == [("p", 2, 0, "a.txt, b.txt"), ("q", 0, 0, "Ninguno")]
+    got = conversations.project_files(docs, projects).orderBy("project_id", "file_name").collect()
+    assert [tuple(r) for r in got] == [("p", 2, "a.txt"), ("p", 2, "b.txt"), ("q", 0, "Ninguno")]

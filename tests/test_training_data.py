@@ -127,7 +127,13 @@ def test_report_with_a_class_never_predicted(spark):
 def test_confusion_matrix_rows_sum_to_support(spark):
     df = predictions(spark, [(0, 0), (0, 1), (1, 1), (2, 0)])
     got = {r.label: tuple(r)[1:] for r in evaluation.confusion_matrix(df, [0, 1, 2]).collect()}
-    assert got == {0: (1, 1, 0), 1: (0, 1, 0), 2: (1, 0, 0)}
+    assert got == {0: (1, 1, 0, 0), 1: (0, 1, 0, 0), 2: (1, 0, 0, 0)}
+
+
+def test_confusion_matrix_is_a_full_square(spark):
+    df = predictions(spark, [(0, 0), (1, 2), (1, 7), (5, 0)])
+    got = {r.label: tuple(r)[1:] for r in evaluation.confusion_matrix(df, [0, 1, 2]).collect()}
+    assert got == {0: (1, 0, 0, 0), 1: (0, 0, 1, 1), 2: (0, 0, 0, 0), 5: (1, 0, 0, 0)}
 
 
 def test_loss_accuracy_and_argmax(spark):
