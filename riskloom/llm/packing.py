@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.folders import staged
+from riskloom.llm.texts import text_chunks
 from riskloom.operators.joins import lookup_join
 
 CAPACITY = 4096
@@ -32,8 +33,8 @@ END_ID = 2
 #: A rest is cut again if it would leave more than this part of itself empty.
 SLACK = 0.03
 MOST_CUTS = 3
-CHUNK_CHARACTERS = 1 << 20
-CACHE_WORDS = 350_000
+CHUNK_BYTES = 1 << 20
+CACHE_WORDS = 500_000
 
 _TAIL = "".join(sorted(set(string.punctuation) - set("'")))
 #: Letters that composing leaves alone and whose lower case is one letter.
@@ -172,17 +173,6 @@ def cuts(total: int, capacity: int = CAPACITY) -> list[int]:
     return pieces + [rest] if rest else pieces
 
 
-def _groups(rows: list[str]):
-    first = size = 0
-    for i, text in enumerate(rows):
-        if size and size + len(text) > CHUNK_CHARACTERS:
-            yield first, i
-            first, size = i, 0
-        size += len(text)
-    if first < len(rows):
-        yield first, len(rows)
-
-
 def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     """Pieces of all documents, numbered by task within their class."""
 
@@ -191,10 +181,10 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
         task = TaskContext.get().partitionId()
         counts = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, last in _groups(rows):
+            for first, last, _, _ in text_chunks(batch.column(1), CHUNK_BYTES):
                 out = []
-                for doc_id, own in zip(ids[first:last], encode(rows[first:last])):
+                ids, rows = (c.slice(first, last - first).to_pylist() for c in batch.columns[:2])
+                for doc_id, own in zip(ids, encode(rows)):
                     own = np.append(own, np.uint32(END_ID)).astype("<u4")
                     start = 0
                     for length in cuts(len(own), capacity):
