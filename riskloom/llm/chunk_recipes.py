@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import texts
 from riskloom.llm.folders import staged
+from riskloom.llm.memory import lean
 
 WINDOW = 48
 MEAN_BYTES = 2048
@@ -98,7 +99,7 @@ def recipes(docs: DataFrame, key_bits: int = 64) -> DataFrame:
         "doc_id long, text_sha256 string, n_bytes long, "
         "chunks array<struct<key: long, digest: binary>>"
     )
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def doubtful_keys(rows: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import texts
 from riskloom.llm.folders import staged
+from riskloom.llm.memory import lean
 
 WINDOW = 10
 #: Greatest size of a broadcast block of windows, in bytes of hashes and words.
@@ -65,10 +66,11 @@ def _blocks(windows: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [windows.filter(F.pmod("hash", F.lit(n)) == i) for i in range(n)]
 
 
-def _scan(docs: DataFrame, block: DataFrame, every: bool) -> DataFrame:
+def _scan(docs: DataFrame, block: DataFrame, every: bool, only: bool = False) -> DataFrame:
     """Per document: number of words and verified hits (start, length, item).
 
-    ``every`` keeps documents without hits too.
+    ``every`` keeps documents without hits too. Where the block is the ``only`` one, hits are merged
+    by the same task.
     """
     found: dict[tuple[int, int], dict[bytes, list[int]]] = {}
     for row in block.toLocalIterator():
@@ -111,13 +113,19 @@ def _scan(docs: DataFrame, block: DataFrame, every: bool) -> DataFrame:
                 )
                 yield rows if every else rows.filter(pa.array([bool(h) for h in hits]))
 
+    if only:
+        return docs.mapInArrow(
+            lean(lambda x: _merged(rows.select(["doc_id", "n_words", "hits"]) for rows in run(x))),
+            _MERGED,
+        )
     return docs.mapInArrow(
-        run,
+        lean(run),
         "doc_id long, mark long, n_words long, "
         "hits array<struct<start: long, length: int, item_id: long>>",
     )
 
 
+_MERGED = "doc_id long, n_words long, n_hit long, items array<long>"
 _HITS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int32()), ("item_id", pa.int64())]))
 
 
@@ -159,23 +167,24 @@ def contamination(
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     windows = staged(benchmark_windows(items, window), "benchmark-windows")
     blocks = _blocks(windows, block_bytes)
+    if len(blocks) == 1:
+        return _scan(docs, blocks[0], every=True, only=True)
+    # One block is in memory at a time; a document that several hit is put together again.
     rows = _scan(docs, blocks[0], every=True)
-    if len(blocks) > 1:
-        # One block is in memory at a time; a document that several hit is put together again.
-        later = staged(_scan(docs, blocks[1], every=False).distinct(), "benchmark-hits")
-        for block in blocks[2:]:
-            later = later.unionByName(staged(_scan(docs, block, every=False).distinct(), "benchmark-hits"))
-        more = (
-            later.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-            .groupBy("doc_id", "mark", "n_words")
-            .agg(F.flatten(F.collect_list("hits")).alias("more"))
-        )
-        rows = (
-            staged(rows, "benchmark-hits")
-            .withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-            .join(more.withColumnRenamed("doc_id", "id"), ["id", "mark", "n_words"], "left")
-            .withColumn("hits", F.concat("hits", F.coalesce("more", F.array().cast("array<struct<start: long, length: int, item_id: long>>"))))
-        )
+    later = staged(_scan(docs, blocks[1], every=False).distinct(), "benchmark-hits")
+    for block in blocks[2:]:
+        later = later.unionByName(staged(_scan(docs, block, every=False).distinct(), "benchmark-hits"))
+    more = (
+        later.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+        .groupBy("doc_id", "mark", "n_words")
+        .agg(F.flatten(F.collect_list("hits")).alias("more"))
+    )
+    rows = (
+        staged(rows, "benchmark-hits")
+        .withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+        .join(more.withColumnRenamed("doc_id", "id"), ["id", "mark", "n_words"], "left")
+        .withColumn("hits", F.concat("hits", F.coalesce("more", F.array().cast("array<struct<start: long, length: int, item_id: long>>"))))
+    )
     return rows.select("doc_id", "n_words", "hits").mapInArrow(
-        _merged, "doc_id long, n_words long, n_hit long, items array<long>"
+        lean(_merged), _MERGED
     )

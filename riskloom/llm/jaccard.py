@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import texts
 from riskloom.llm.folders import staged
+from riskloom.llm.memory import lean
 from riskloom.operators.components import star_labels
 from riskloom.operators.joins import lookup_join
 
@@ -165,7 +166,7 @@ def sketches(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
                 )
 
     schema = "doc_id long, n_shingles long, sum_a long, sum_b long, histogram binary"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def sign(
@@ -286,7 +287,7 @@ def signatures(
                             ["signature", "salt", "doc_id"],
                         )
 
-    return docs.mapInArrow(run, "signature long, salt int, doc_id long")
+    return docs.mapInArrow(lean(run), "signature long, salt int, doc_id long")
 
 
 def frequent_signatures(docs: DataFrame, words: int, percent: int) -> list[int]:
@@ -352,7 +353,7 @@ def _whole_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 )
 
     some = lookup_join(docs, staged(ids, "jaccard-ids"), ["doc_id"], "left_semi")
-    return some.mapInArrow(sets, "doc_id long, shingles binary")
+    return some.mapInArrow(lean(sets), "doc_id long, shingles binary")
 
 
 def verified(
@@ -375,7 +376,7 @@ def verified(
         .select("a", "b", "n_a", "n_b", "same", "histogram_a", "histogram_b")
     )
     left = staged(
-        both.mapInArrow(lambda x: _refuted(x, percent), "a long, b long, same boolean").distinct(),
+        both.mapInArrow(lean(lambda x: _refuted(x, percent)), "a long, b long, same boolean").distinct(),
         "jaccard-candidates",
     )
     unequal = left.filter(~F.col("same")).select("a", "b")
@@ -385,7 +386,7 @@ def verified(
         unequal.join(whole.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a")
         .join(whole.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
         .select("a", "b", "x", "y")
-        .mapInArrow(lambda x: _agreeing(x, percent), "a long, b long")
+        .mapInArrow(lean(lambda x: _agreeing(x, percent)), "a long, b long")
     )
     return staged(left.filter("same").select("a", "b").unionByName(compared), "jaccard-links")
 
@@ -525,7 +526,7 @@ def _block_links(
     right = packed.select("main", "stray", "block", F.col("ids").alias("y"), F.col("sets").alias("q"))
     pairs = left.join(right, "main").filter("NOT stray OR at <= block").select("x", "p", "y", "q")
     return staged(
-        pairs.repartition(F.xxhash64("x", "y")).mapInArrow(lambda x: _linked_in_blocks(x, percent), "a long, b long"),
+        pairs.repartition(F.xxhash64("x", "y")).mapInArrow(lean(lambda x: _linked_in_blocks(x, percent)), "a long, b long"),
         "jaccard-links",
     )
 

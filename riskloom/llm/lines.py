@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.memory import lean
+
 NULL_ID = -(1 << 63)
 #: White space that is stripped from a line for its key.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -53,7 +55,7 @@ def _hashed(docs: DataFrame, least_points: int) -> DataFrame:
                         ["high", "low", "doc_id", "mark", "places"],
                     )
 
-    return docs.mapInArrow(run, "high long, low long, doc_id long, mark long, places array<int>")
+    return docs.mapInArrow(lean(run), "high long, low long, doc_id long, mark long, places array<int>")
 
 
 def drop_shared_lines(
@@ -107,6 +109,6 @@ def drop_shared_lines(
     return (
         docs.join(drops, ["doc_id", "mark"], "left")
         .select("doc_id", "text", "places")
-        .mapInArrow(rebuild, "doc_id long, n_lines long, n_dropped long, kept string")
+        .mapInArrow(lean(rebuild), "doc_id long, n_lines long, n_dropped long, kept string")
         .withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
     )

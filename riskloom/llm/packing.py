@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import os
 import re
 import string
 import zlib
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.folders import staged
+from riskloom.llm.memory import lean
 from riskloom.llm.texts import text_chunks
 from riskloom.operators.joins import lookup_join
 
@@ -51,6 +53,8 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        # Spark runs a task on each core; threads of the tokenizer would each hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -177,14 +181,14 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     """Pieces of all documents, numbered by task within their class."""
 
     def run(batches):
-        encode = tokenizer_at(tokenizer).ids
+        words = tokenizer_at(tokenizer)
         task = TaskContext.get().partitionId()
         counts = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for first, last, _, _ in text_chunks(batch.column(1), CHUNK_BYTES):
                 out = []
                 ids, rows = (c.slice(first, last - first).to_pylist() for c in batch.columns[:2])
-                for doc_id, own in zip(ids, encode(rows)):
+                for doc_id, own in zip(ids, words.ids(rows)):
                     own = np.append(own, np.uint32(END_ID)).astype("<u4")
                     start = 0
                     for length in cuts(len(own), capacity):
@@ -197,9 +201,11 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
                     [pa.array(x, pa.int64()) for x in zip(*out)],
                     ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task", "share", "number"],
                 )
+        # The worker lives on for other tasks, which need the memory.
+        words.clear()
 
     return docs.mapInArrow(
-        run,
+        lean(run),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
         "task long, share long, number long",
     )

@@ -31,7 +31,15 @@ URL_RULES = (
 )
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches end by bytes: ten thousand long texts would be much for a task to hold."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting) == "67108864b":
+        spark.conf.set(setting, size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,7 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+#: Texts that are worked on at once, and bytes that are hashed at once: what a task holds beside
+#: its batch is some forty times the former at most.
+CHUNK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 _ODD = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _LENGTH = np.uint64(0xA24BAED4963EE407)
@@ -37,17 +40,22 @@ ALPHANUMERIC[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]
 _powers_made: tuple[np.ndarray, np.ndarray] | None = None
 
 
+def _made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    made = []
+    for base in (_ODD, pow(_ODD, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    return made[0], made[1]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base, and of its inverse modulo 2**64, up to n."""
+    """Powers of the odd base, and of its inverse modulo 2**64, up to n; those of a block are kept."""
     global _powers_made
-    if _powers_made is None or len(_powers_made[0]) < n:
-        inverse = pow(_ODD, -1, 1 << 64)
-        made = []
-        for base in (_ODD, inverse):
-            steps = np.full(max(n, CHUNK_BYTES), base, np.uint64)
-            steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        _powers_made = (made[0], made[1])
+    if n > BLOCK_BYTES:
+        return _made_powers(n)
+    if _powers_made is None:
+        _powers_made = _made_powers(BLOCK_BYTES)
     return _powers_made
 
 
@@ -108,14 +116,21 @@ def word_bounds(
 def word_hashes(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True
 ) -> np.ndarray:
-    """Hash of each run of bytes; with ``fold``, A to Z count as a to z."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    power, inverse = _powers(len(data))
-    running = np.zeros(len(data) + 1, np.uint64)
+    """Hash of each run of bytes, starts and ends both ascending; with ``fold``, A to Z count as a to z."""
     values = _FOLDED_VALUES if fold else _BYTE_VALUES
-    np.cumsum(values[data] * power[: len(data)], out=running[1:])
-    return mix((running[ends] - running[starts]) * inverse[starts])
+    found = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        base = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
+        n = int(ends[last - 1]) - base
+        power, inverse = _powers(n)
+        running = np.zeros(n + 1, np.uint64)
+        np.cumsum(values[data[base : base + n]] * power[:n], out=running[1:])
+        left, right = starts[first:last] - base, ends[first:last] - base
+        found[first:last] = mix((running[right] - running[left]) * inverse[left])
+        first = last
+    return found
 
 
 def window_hashes(

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import texts
+from riskloom.llm.memory import give_back, lean
 
 CELLS = 1 << 20
 #: Bytes at the start of a word that are features beside the whole word.
@@ -112,10 +113,13 @@ class Fitted:
         return (1 / (1 + np.exp(-np.clip(logits, -30, 30)))).mean(axis=0)
 
 
-def _telling_words(positive, unlabelled, n_p: int, n_u: int, policy: PuPolicy) -> np.ndarray:
-    """Cells that positives hold far more often than unlabelled texts, by their log-odds test."""
-    seen_p = np.bincount(positive[0], minlength=CELLS)
-    seen_u = np.bincount(unlabelled[0], minlength=CELLS)
+def _telling_words(
+    seen_p: np.ndarray, seen_u: np.ndarray, n_p: int, n_u: int, policy: PuPolicy
+) -> np.ndarray:
+    """Cells that positives hold far more often than unlabelled texts, by their log-odds test.
+
+    ``seen_p`` and ``seen_u`` are the numbers of texts that hold each cell.
+    """
     rate_p, rate_u = (seen_p + 0.5) / (n_p + 1), (seen_u + 0.5) / (n_u + 1)
     spread = np.sqrt(rate_p / (n_p + 1) + rate_u / (n_u + 1))
     test = (rate_p - rate_u) / spread
@@ -124,16 +128,16 @@ def _telling_words(positive, unlabelled, n_p: int, n_u: int, policy: PuPolicy) -
     return np.sort(best[np.abs(test[best]) > 4])
 
 
-def fit(positive, unlabelled, prior: float, policy: PuPolicy) -> Fitted:
+def fit(positive, unlabelled, chosen: np.ndarray, prior: float, policy: PuPolicy) -> Fitted:
     """Linear classifiers with the least non-negative risk, by Adam with a seed each.
 
-    Each side is the cells of its texts, the texts' numbers, and their count.
+    Each side is the cells of its texts, the texts' numbers, and their count; only the ``chosen``
+    cells count.
     """
     (_, _, n_p), (_, _, n_u) = positive, unlabelled
     if not n_p or not n_u:
         return Fitted(np.zeros(0, np.int64), np.zeros((policy.models, 0)), np.full(policy.models, -4.0))
     sides = [side[:2] for side in (positive, unlabelled)]
-    chosen = _telling_words(*sides, n_p, n_u, policy)
     column = np.full(CELLS, -1)
     column[chosen] = np.arange(len(chosen))
     dense = []
@@ -193,26 +197,51 @@ def train(documents: DataFrame, labels: DataFrame, policy: PuPolicy = PuPolicy()
         .filter("text IS NOT NULL")
         .join(F.broadcast(drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "kind")), "doc_id")
         .select("kind", "text")
-        .mapInArrow(_cells, "kind int, cells array<int>")
+        .mapInArrow(lean(_cells), "kind int, cells array<int>")
         .toArrow()
     )
-    kinds = rows.column("kind").to_numpy()
-    cells = rows.column("cells").combine_chunks()
-    owner = np.repeat(np.arange(len(kinds)), np.diff(cells.offsets.to_numpy()))
-    flat = cells.flatten().to_numpy()
-
-    def side(kind: int) -> tuple[np.ndarray, np.ndarray, int]:
-        chosen = kinds == kind
-        number = np.cumsum(chosen) - 1
-        inside = chosen[owner]
-        return flat[inside], number[owner[inside]], int(chosen.sum())
-
-    return fit(
-        side(1),
-        side(0),
-        prior,
-        policy,
+    sides = _sides(rows.to_batches(), policy)
+    del rows
+    give_back()
+    return fit(*sides, prior, policy)
+
+
+def _sides(batches: list[pa.RecordBatch], policy: PuPolicy) -> tuple[tuple, tuple, np.ndarray]:
+    """Both sides of the sample, reduced to the cells that tell, and those cells.
+
+    The sample is counted and reduced batch by batch, so that no second copy of it is made.
+    """
+    count = {1: 0, 0: 0}
+    seen = {kind: np.zeros(CELLS, np.int64) for kind in count}
+    for batch in batches:
+        kinds = batch.column("kind").to_numpy()
+        cells = batch.column("cells")
+        own = np.repeat(kinds, np.diff(cells.offsets.to_numpy()))
+        flat = cells.flatten().to_numpy()
+        for kind in count:
+            count[kind] += int((kinds == kind).sum())
+            seen[kind] += np.bincount(flat[own == kind], minlength=CELLS)
+    chosen = _telling_words(seen[1], seen[0], count[1], count[0], policy)
+    told = np.zeros(CELLS, bool)
+    told[chosen] = True
+    kept = {kind: ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)]) for kind in count}
+    before = dict.fromkeys(count, 0)
+    for batch in batches:
+        kinds = batch.column("kind").to_numpy()
+        cells = batch.column("cells")
+        flat = cells.flatten().to_numpy()
+        inside = np.flatnonzero(told[flat])
+        row = np.searchsorted(cells.offsets.to_numpy() - cells.offsets[0].as_py(), inside, "right") - 1
+        for kind in count:
+            number = before[kind] + np.cumsum(kinds == kind) - 1
+            mine = kinds[row] == kind
+            kept[kind][0].append(flat[inside[mine]].astype(np.int64))
+            kept[kind][1].append(number[row[mine]])
+            before[kind] += int((kinds == kind).sum())
+    positive, unlabelled = (
+        (np.concatenate(kept[kind][0]), np.concatenate(kept[kind][1]), count[kind]) for kind in (1, 0)
     )
+    return positive, unlabelled, chosen
 
 
 def score(documents: DataFrame, model: Fitted) -> DataFrame:
@@ -235,4 +264,4 @@ def score(documents: DataFrame, model: Fitted) -> DataFrame:
             )
 
     schema = documents.withColumn("toxicity", F.lit(0.0)).schema
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(lean(run), schema)
