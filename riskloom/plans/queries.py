@@ -531,6 +531,9 @@ def hashed_embeddings(spark, folder):
 
 # ---------------------------------------------------------------- retrieval
 
+# All but corpus_search and index_reupload search the documents that have a stored vector: the
+# ``embeddings`` table alone is their corpus, as in their SQL.
+
 
 def _plain_hits(hits: DataFrame) -> DataFrame:
     return hits.select("query_id", "chunk_id", F.round("similarity", 6).alias("similarity"), "rank")
@@ -590,10 +593,10 @@ def prompt_messages(spark, folder):
 
 @register
 def corpus_search(spark, folder):
-    """Text to picked chunks: the stored index and the questions are embedded alike."""
+    """Text to picked chunks: all supported documents and all questions are embedded alike."""
     path = f"{new_folder(spark, 'index')}/chunks"
     index, encoder = build_index(views.documents(spark, folder), path)
-    asked = views.questions(spark, folder).drop("vector").withColumnRenamed("question", "text")
+    asked = views.asked(spark, folder).withColumnRenamed("question", "text")
     picked = ret.retrieve(encoder.transform(asked), index)
     return picked.select("query_id", "pick", "rank", "chunk_id", "source", "page")
 

@@ -125,33 +125,42 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that have a vector."""
+    """The corpus of the vector queries: the documents that have a row in ``embeddings``.
+
+    That table alone is the corpus, as in the queries' SQL: a document without a stored vector is
+    never searched, and no other encoder's vectors can be compared with the stored ones.
+    ``corpus_search`` encodes the texts itself and needs no stored vector.
+    """
     vectors = table(spark, folder, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector")
     )
     return documents(spark, folder).join(vectors, "doc_id").withColumnRenamed("doc_id", "chunk_id")
 
 
-def questions(spark: SparkSession, folder: str) -> DataFrame:
-    """The last user turn of each conversation, with the project of the same number.
-
-    Its vector is the stored one of that number in reverse, which lies near no passage by design.
-    """
-    vectors = table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("conv_id"), F.reverse("embedding").alias("vector")
-    )
+def asked(spark: SparkSession, folder: str) -> DataFrame:
+    """The last user turn of each conversation, with the project of the same number."""
     projects = documents(spark, folder).select(
         F.col("doc_id").alias("conv_id"), "project_id", F.col("source").alias("own_source")
     )
     return (
         last_questions(table(spark, folder, "conversations"))
-        .join(vectors, "conv_id")
         .join(projects, "conv_id")
         .withColumnRenamed("conv_id", "query_id")
         .withColumn("source_filter", F.lit(None).cast("string"))
     )
 
 
+def questions(spark: SparkSession, folder: str) -> DataFrame:
+    """The questions :func:`asked` that have a vector.
+
+    Their vector is the stored one of that number in reverse, which lies near no passage by design.
+    """
+    vectors = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("query_id"), F.reverse("embedding").alias("vector")
+    )
+    return asked(spark, folder).join(vectors, "query_id")
+
+
 def rasters(spark: SparkSession, folder: str) -> DataFrame:
     """Vectors as 8 x 8 pictures of one channel with values 0 to 255."""
     return spread(table(spark, folder, "embeddings")).select(
