@@ -1,13 +1,14 @@
 """License scan by ordered signature rules.
 
 Rules are regular expressions over a text's words (lower-cased runs of letters and digits, a blank
-before each). A rule is tried only on texts that hold its keyword. A detection that lies within one
+before each). A rule is tried only on texts that hold its keyword, a word of its every match. A detection that lies within one
 of the same or a better priority is suppressed; the base phrases are reported in any case. Spark's
 own functions only.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -122,7 +123,8 @@ PHRASES = (
     ("free-software", "software", r"this program is free software"),
     ("free-software", "redistribute", r"you can redistribute it and or modify it"),
     ("source-available", "source", r"source available license"),
-    ("non-commercial", "commercial", r"for non ?commercial (?:use|purposes)(?: only)?"),
+    ("non-commercial", "commercial", r"for non commercial (?:use|purposes)(?: only)?"),
+    ("non-commercial", "noncommercial", r"for noncommercial (?:use|purposes)(?: only)?"),
     ("attribution", "attribution", r"attribution (?:is )?required"),
     ("no-license", "license", r"no license (?:is )?granted"),
     ("licensed", "licensed", r"licensed under the terms of"),
@@ -139,8 +141,7 @@ def rules() -> list[Rule]:
         found.append(Rule(label, "license", f"license (?:{tag})(?: license)?", MENTION))
         for spelling in spellings:
             for option in _alternatives(spelling):
-                words = ("licence" if "licence" in option else "license") if "licen" in option else option.split()[0]
-                found.append(Rule(label, words, option, TITLE))
+                found.append(Rule(label, _keyword(option), option, TITLE))
         found.append(Rule(label, "licensed", f"licensed under (?:the )?(?:{'|'.join(spellings)})", TAG))
     for name in ATTRIBUTIONS:
         label = "cc-" + name.replace(" ", "-")
@@ -170,6 +171,18 @@ def _alternatives(pattern: str) -> list[str]:
     return [*parts, own]
 
 
+def _keyword(pattern: str) -> str:
+    """A word that stands by itself in every match: of those left without the optional parts, the
+    licence or else the longest."""
+    least, before = pattern, ""
+    while least != before:
+        before = least
+        least = re.sub(r"\(\?:[^()]*\)(?:[?*]|\{0,[0-9]+\})", "", least)
+        least = re.sub(r"\(\?:[^()]*\)(?![?*{])", "()", least)
+    words = [w for w in re.sub(r"[^()]\?", "?", least).split() if re.fullmatch("[0-9a-z]+", w)]
+    return next((w for w in words if w in ("license", "licence")), max(words, key=len))
+
+
 def _gate(known: list[Rule]) -> str:
     """Matches every text that holds the keyword of some rule as a word."""
     words = sorted({rule.keyword for rule in known})

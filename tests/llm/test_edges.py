@@ -1,6 +1,9 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import itertools
 import random
+from re import _constants as sre
+from re import _parser
 
 import brute
 import numpy as np
@@ -104,6 +107,56 @@ def test_license_rules_are_tried_only_with_their_keyword():
     assert all(rule.keyword in rule.pattern for rule in known)
 
 
+def forms(parsed):
+    """Strings that a pattern matches: every alternative, optional parts left out and present."""
+    out = [""]
+    for op, arg in parsed:
+        if op is sre.LITERAL:
+            tails = [chr(arg)]
+        elif op is sre.SUBPATTERN:
+            tails = forms(arg[3])
+        elif op is sre.BRANCH:
+            tails = [form for part in arg[1] for form in forms(part)]
+        elif op is sre.IN and all(o is sre.LITERAL for o, _ in arg):
+            tails = [chr(a) for _, a in arg]
+        elif op in (sre.IN, sre.NOT_LITERAL):
+            tails = ["1" if arg[0][0] is sre.RANGE else "x"]
+        else:
+            assert op in (sre.MAX_REPEAT, sre.POSSESSIVE_REPEAT), op
+            least, most, inner = arg
+            counts = {least, min(most, max(least, 1)), min(most, least + 1)}
+            tails = ["".join(p) for n in counts for p in itertools.product(forms(inner), repeat=n if n < 3 else 1)]
+        out = [head + tail for head in out for tail in dict.fromkeys(tails)]
+    return out
+
+
+def test_every_match_of_a_license_rule_holds_its_keyword_as_a_word():
+    for rule in licenses.rules():
+        for form in forms(_parser.parse(rule.pattern)):
+            assert f" {rule.keyword} " in f" {form} ", (rule, form)
+
+
+@pytest.mark.parametrize("keyless", [False, True])
+def test_licenses_without_the_word_license(spark, keyless):
+    texts = {
+        "Released under the BSD 3-Clause.": "bsd-3-clause",
+        "BSD 2-Clause, see below": "bsd-2-clause",
+        "old BSD 4 clause terms": "bsd-4-clause",
+        "released into the public under The Unlicense": "unlicense",
+        "MIT No Attribution": "mit-0",
+        "Creative Commons Zero": "cc0-1.0",
+        "for noncommercial use only": "non-commercial",
+        "for non-commercial purposes": "non-commercial",
+        "GNU General Public License3": "gpl-3.0",
+    }
+    # A second text holds the words that used to be the keywords.
+    tail = "" if keyless else "\nlicense licence commercial"
+    frame = spark.createDataFrame([(i, t + tail) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = by_id(licenses.license_scan(frame), "doc_id", "labels")
+    for i, label in enumerate(texts.values()):
+        assert label in got[i][0].split(","), (i, label, got[i])
+
+
 def test_personal_data(docs, odd):
     rows = personal_data.personal_data(docs).collect()
     for r in rows:
