@@ -17,6 +17,25 @@ from riskloom.llm.matches import NO_MATCHES, located
 CONTEXT = 48
 
 
+#: Length of an account number -> the countries that have it.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK",
+    21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL",
+    24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM",
+    28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """A run of its country's length, so that words after it stay out of the checksum; of a country
+    that is not listed, a run of any length up to the next listed one."""
+    listed = "|".join(IBAN_COUNTRIES.values())
+    runs = [f"(?:{names})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_COUNTRIES.items()]
+    runs.append(f"(?!{listed})[A-Z]{{2}}[0-9]{{2}}(?:(?! (?:{listed})[0-9]{{2}}) ?[A-Z0-9]){{11,30}}")
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(runs)})(?![A-Za-z0-9])"
+
+
 @dataclass(frozen=True)
 class Kind:
     """``gate`` tells cheaply that a text holds no span; ``base`` and ``raised`` are scores without
@@ -55,7 +74,7 @@ KINDS = (
     ),
     Kind(
         "iban", r"[A-Z]{2}[0-9]{2}",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+        _iban(),
         "iban|bank|account|transfer|konto|cuenta|compte", 0.8, 0.98,
     ),
     Kind(

@@ -167,6 +167,20 @@ def test_personal_data(docs, odd):
     assert personal_data.personal_data(odd).count() == 5
 
 
+def test_account_numbers_end_at_their_countrys_length(spark):
+    german, plain, british = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    texts = [
+        (f"IBAN {german} BIC COBADEFF", [german]), (f"{plain} I paid", [plain]), (f"{plain} 2024 paid", [plain]),
+        (f"{plain}, then", [plain]), (f"{german} {british} OK", [german, british]), (f"ZZ12 {german}", [german]),
+        ("NO93 8601 1117 947 NOK", ["NO93 8601 1117 947"]), (f"{plain}7", []), (f"X{plain}", []),
+        ("DE88 3704 0044 0532 0130 00", []),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    for r in personal_data.personal_data(frame).collect():
+        found = [r.text[s.start : s.end] for s in r.personal if s.kind == "iban"]
+        assert found == texts[r.doc_id][1], r.text
+
+
 def test_personal_data_on_random_signs(spark):
     rng = random.Random(5)
     texts = ["".join(rng.choices("0123456789.@+- ()aB_%é", weights=[6] * 10 + [8, 4, 3, 6, 8, 2, 2, 5, 5, 2, 2, 1], k=400)) for _ in range(150)]
