@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Only confirmed toxic texts are used as labels; all other training texts are unlabelled and hold an
-unknown number of toxic ones. With the class prior p, the risk of a classifier g is
+Only confirmed toxic texts are used as labels; the unlabelled side is drawn from all training texts,
+labelled or not, and holds an unknown number of toxic ones. With the class prior p, the risk of a classifier g is
 
     p * R_P(g, +1) + max(0, R_U(g, -1) - p * R_P(g, -1)),
 
@@ -36,6 +36,7 @@ class PuPolicy:
 
     ``most_positive`` and ``most_unlabelled`` bound the sample that is fitted on; it is drawn by a
     hash of the document id. ``folds`` keeps the documents whose crc32(id) is divisible by it out.
+    ``prior`` is the share of toxic texts to assume where the labels hold no clean row to tell it.
     """
 
     most_positive: int = 4000
@@ -47,6 +48,7 @@ class PuPolicy:
     decay: float = 1e-4
     least_documents: int = 5
     words_kept: int = 400
+    prior: float = 0.1
 
 
 def held_out(doc_id, folds: int = 5):
@@ -175,27 +177,30 @@ def fit(positive, unlabelled, chosen: np.ndarray, prior: float, policy: PuPolicy
 
 
 def train(documents: DataFrame, labels: DataFrame, policy: PuPolicy = PuPolicy()) -> Fitted:
-    """Fit on the training folds: confirmed toxic texts against unlabelled ones.
+    """Fit on the training folds: confirmed toxic texts against texts of all training documents.
 
     ``labels`` has doc_id and toxic; only rows with toxic = 1 are used as labels, and the share of
-    those among the labelled training rows as the class prior. Rows without id, text or label are
-    left out. Without positives every score is low.
+    those among the labelled training rows as the class prior, or ``policy.prior`` where all of them
+    are toxic. Documents without id or text and labels without id or value are left out. Without
+    positives every score is low.
     """
     usable = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = (
         usable.filter(~held_out(F.col("doc_id"), policy.folds))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    prior = min(max(share or 0.0, 1e-3), 0.5)
+    n_toxic, n_known = known.agg(F.count_if(F.col("toxic") == 1), F.count(F.lit(1))).first()
+    prior = min(max(n_toxic / n_known if n_toxic < n_known else policy.prior, 1e-3), 0.5)
+    readable = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    ).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    training = readable.filter(~held_out(F.col("doc_id"), policy.folds)).select("doc_id").distinct()
     toxic = _thinned(known.filter("toxic = 1").select("doc_id"), policy.most_positive)
-    any_of = _thinned(known.select("doc_id"), policy.most_unlabelled)
+    any_of = _thinned(training, policy.most_unlabelled)
     # The samples are bounded by the policy, so their ids may be broadcast.
     drawn = toxic.withColumn("kind", F.lit(1)).unionByName(any_of.withColumn("kind", F.lit(0)))
     rows = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .filter("text IS NOT NULL")
-        .join(F.broadcast(drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "kind")), "doc_id")
+        readable.join(F.broadcast(drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "kind")), "doc_id")
         .select("kind", "text")
         .mapInArrow(lean(_cells), "kind int, cells array<int>")
         .toArrow()

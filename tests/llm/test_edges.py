@@ -288,6 +288,15 @@ def test_toxicity(spark, docs, odd):
     assert toxicity.score(odd, toxicity.train(train, labels.filter("toxic = 0"))).filter("toxicity >= 0.5").count() == 0
 
 
+def test_toxicity_with_confirmed_toxic_labels_only(spark):
+    """Half of the toxic texts are confirmed, nothing else is labelled."""
+    rows = [(i, prose(i, 60) + (" vileword" + "xyz"[i % 3] if i % 8 == 0 else "")) for i in range(2000)]
+    train = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 2000, 16)], "doc_id long, toxic int")
+    scores = toxicity.score(train, toxicity.train(train, labels)).collect()
+    assert all((r.toxicity >= 0.5) == (r.doc_id % 8 == 0) for r in scores)
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     rules = spark.createDataFrame(queries.URL_RULES, "rule string, verdict string")
