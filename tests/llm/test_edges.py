@@ -335,3 +335,32 @@ def test_pipeline_against_plain_stages(spark):
         if name == "packing":
             assert {r.doc_id for r in after.collect()} == {i for i, _ in held}
         docs = after
+
+
+def test_pipeline_drops_rows_of_null_and_repeated_ids(spark, tmp_path):
+    near = prose(41, 300)
+    item = prose(42, 40)
+    rows = [
+        (None, "alone"), (None, "copied"), (7, "copied"), (8, "twice"), (8, "twice"), (None, "null twice"), (None, "null twice"),
+        (9, "copied"), (9, "clean one"), (20, near), (None, near + " more"), (21, near + " end"), (21, "clean two"),
+        (30, "words " + item), (30, "clean three"), (None, item), (31, item + " x"), (40, None), (40, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    seen = {}
+    for name in ("exact_dedup", "ngram_jaccard", "decontamination"):
+        docs = stages[name](spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "lang"]
+        seen[name] = sorted(((r.doc_id, r.text or "") for r in docs.collect()), key=str)
+    want = {
+        (None, "alone"), (9, "copied"), (8, "twice"), (None, "null twice"), (9, "clean one"), (20, near),
+        (None, near + " more"), (21, near + " end"), (21, "clean two"), (30, "words " + item), (30, "clean three"),
+        (None, item), (31, item + " x"), (40, ""),
+    }
+    assert seen["exact_dedup"] == sorted(want, key=str)
+    # Near copies: null is the smallest id.
+    want -= {(20, near), (21, near + " end"), (30, "words " + item), (31, item + " x")}
+    assert seen["ngram_jaccard"] == sorted(want, key=str)
+    want -= {(None, item)}
+    assert seen["decontamination"] == sorted(want, key=str)
