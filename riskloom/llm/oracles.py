@@ -125,6 +125,98 @@ FROM parts LEFT JOIN fitting USING (page_id)
 """
 
 
+#: The CRC-32 of a decimal number, bit by bit.
+OP11 = """
+WITH RECURSIVE numbered AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS source, xor(list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, zero: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM numbered)),
+heads AS (
+  SELECT i.conv_id, i.h, n.place, n.role, n.text FROM ids i JOIN numbered n ON n.conv_id = i.source AND n.place < i.h),
+lengths AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+turns AS (
+  SELECT conv_id, place + 1 AS depth, role, text FROM heads
+  UNION ALL
+  SELECT i.conv_id, n.place - i.h + coalesce(l.n, 0) + 1, n.role, n.text
+  FROM ids i JOIN numbered n ON n.conv_id = i.conv_id AND n.place >= i.h LEFT JOIN lengths l ON l.conv_id = i.conv_id),
+paths AS (
+  SELECT conv_id, depth, length(text) AS points,
+    string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (
+      PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS node
+  FROM turns
+  UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+ends AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, arg_max(node, depth) AS node FROM paths GROUP BY conv_id) GROUP BY node),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(points) AS saved
+  FROM paths GROUP BY node),
+up AS (
+  SELECT DISTINCT n.node, p.node AS parent FROM paths n JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+children AS (SELECT parent AS node, count(*) AS n_children FROM up GROUP BY parent),
+above AS (
+  SELECT DISTINCT n.node AS node, p.node AS top FROM paths n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth),
+sums AS (
+  SELECT top AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM above JOIN nodes USING (node) LEFT JOIN children USING (node) GROUP BY top)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+  s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN children c USING (node) LEFT JOIN up u USING (node)
+  LEFT JOIN nodes q ON q.node = u.parent LEFT JOIN ends e ON e.node = n.node
+"""
+
+
+OP12 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    {_lower("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: w[i:i + n - 1])) AS p
+  FROM split, (VALUES (1), (2), (3)) AS lengths(n) WHERE len(w) >= n),
+f AS (SELECT lang, p, count(*) AS f FROM grams GROUP BY lang, p),
+sizes AS (SELECT lang, sum(f) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+candidates AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1 AND f >= 10),
+places AS (
+  SELECT lang, p, a, k, p[1:k] AS head, p[k + 1:] AS tail
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates)),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r,
+    (1000000::HUGEINT * c.a * c.a) // (l.f::HUGEINT * r.f) AS score
+  FROM places c JOIN f l ON l.lang = c.lang AND l.p = c.head JOIN f r ON r.lang = c.lang AND r.p = c.tail),
+scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, p[1:2] AS p, a FROM candidates WHERE len(p) = 3
+  UNION ALL SELECT lang, p[2:3], a FROM candidates WHERE len(p) = 3),
+swallowed AS (
+  SELECT DISTINCT c.lang, c.p FROM candidates c JOIN parts b ON b.lang = c.lang AND b.p = c.p AND 100 * b.a >= 50 * c.a),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM scored ANTI JOIN swallowed USING (lang, p)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ordered JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+OP13 = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS keep_id FROM payloads)
+SELECT page_id, n AS payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN n >= 1000 AND page_id < keep_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id < keep_id THEN keep_id END AS refers_to
+FROM kept
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op1_perspectives": OP1,
@@ -133,4 +225,7 @@ def all_oracles() -> dict[str, str]:
         "op4_shared_lines": OP4,
         "op8_decontamination": OP8,
         "op9_url_rules": OP9,
+        "op11_prefix_trie": OP11,
+        "op12_collocations": OP12,
+        "op13_warc": OP13,
     }

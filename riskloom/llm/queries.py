@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import (
     chunk_recipes,
+    collocations,
     decontamination,
     jaccard,
     licenses,
@@ -17,8 +18,10 @@ from riskloom.llm import (
     packing,
     personal_data,
     perspectives,
+    prefix_trie,
     toxicity,
     url_rules,
+    warc,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -121,12 +124,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids, sequences = prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))
+    trie = prefix_trie.prefix_trie(ids, sequences)
+    ends = prefix_trie.list_digests(trie.end_lists)
+    return trie.nodes.join(ends, prefix_trie.NODE, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_perspectives, op2_jaccard, op3_chunk_recipes, op4_shared_lines, op5_licenses,
             op6_harmonic_packing, op7_personal_data, op8_decontamination, op9_url_rules,
-            op10_toxicity,
+            op10_toxicity, op11_prefix_trie, op12_collocations, op13_warc,
         )
     }
