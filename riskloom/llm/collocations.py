@@ -34,6 +34,8 @@ SCALE = 1_000_000
 FILTER_BITS = 26
 RUN_WORDS = 1 << 20
 CHUNK_BYTES = 4 << 20
+#: Counts that are broadcast to be looked up; larger ones are joined by a shuffle.
+LOOKUP_BYTES = 16 << 20
 #: Reached by the first threshold: so many times TOP pairs of a language.
 FIRST_REACH = 2
 NO_LANGUAGE = "und"
@@ -174,6 +176,10 @@ def _score(a: str, left: str, right: str) -> Column:
     return F.call_function("div", top, wide[left] * wide[right])
 
 
+def _looked_up(rows: DataFrame, found: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    return lookup_join(rows, found, on, how, LOOKUP_BYTES)
+
+
 def _named(counts: DataFrame, on: dict[str, str], **values: str) -> DataFrame:
     """Columns of ``counts`` under other names, to be looked up."""
     return counts.select(*[F.col(k).alias(v) for k, v in on.items()], *[F.col(k).alias(v) for k, v in values.items()])
@@ -216,8 +222,8 @@ def collocations(
     sizes = words.groupBy("lang").agg(F.sum("a").alias("n"))
     words = words.filter(F.col("a") >= least)
     pairs = _counted(docs, 2, [words.select(F.col("x").alias("key"))]).filter(F.col("a") >= least)
-    pairs = lookup_join(pairs, _named(words, {"x": "x"}, lang="lang", a="l"), ["x"], "inner")
-    pairs = lookup_join(pairs, _named(words, {"x": "y"}, a="r"), ["y"], "inner")
+    pairs = _looked_up(pairs, _named(words, {"x": "x"}, lang="lang", a="l"), ["x"], "inner")
+    pairs = _looked_up(pairs, _named(words, {"x": "y"}, a="r"), ["y"], "inner")
     pairs = staged(
         pairs.withColumn("score", _score("a", "l", "r"))
         .withColumn("bound", F.call_function("div", F.lit(SCALE) * F.col("a"), F.col("l"))),
@@ -230,12 +236,12 @@ def collocations(
         levels = staged(_thresholds(pairs, settled, reach), "phrases-thresholds")
         if levels.isEmpty():
             break
-        open_pairs = lookup_join(pairs, levels, ["lang"], "inner")
+        open_pairs = _looked_up(pairs, levels, ["lang"], "inner")
         grown = open_pairs.filter("bound >= threshold").select(*PAIR)
         reaching = open_pairs.filter("score >= threshold")
         if done is not None:
             # Those that grew in an earlier round have been counted.
-            earlier = lookup_join(pairs, done, ["lang"], "inner").filter("bound >= threshold").select(*PAIR)
+            earlier = _looked_up(pairs, done, ["lang"], "inner").filter("bound >= threshold").select(*PAIR)
             grown = grown.join(earlier, PAIR, "left_anti")
         counted = _counted(
             docs, 3,
@@ -247,13 +253,13 @@ def collocations(
             known = known.unionByName(more)
         known = staged(_scored_triples(known.distinct() if len(triples) > 1 else known, pairs, words), "phrases-triples")
         triples = [known.select(*TRIPLE, "a")]
-        kept = staged(_survivors(open_pairs, lookup_join(known, levels, ["lang"], "inner"), swallowed), "phrases-kept")
+        kept = staged(_survivors(open_pairs, _looked_up(known, levels, ["lang"], "inner"), swallowed), "phrases-kept")
         enough = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_kept"))
         over = staged(
             levels.join(enough, "lang", "left").filter((F.col("threshold") == 0) | (F.col("n_kept") >= top)).select("lang"),
             "phrases-settled",
         )
-        survivors.append(lookup_join(kept, over, ["lang"], "left_semi"))
+        survivors.append(_looked_up(kept, over, ["lang"], "left_semi"))
         settled = over if settled is None else settled.unionByName(over)
         done = levels
         reach *= 4
@@ -269,10 +275,10 @@ def collocations(
 
 def _scored_triples(triples: DataFrame, pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Triples with their language and the l, r and score of the cut that counts."""
-    rows = lookup_join(triples, _named(words, {"x": "x"}, lang="lang", a="f_x"), ["x"], "inner")
-    rows = lookup_join(rows, _named(words, {"x": "z"}, a="f_z"), ["z"], "inner")
-    rows = lookup_join(rows, _named(pairs, {"x": "x", "y": "y"}, a="f_xy"), PAIR, "inner")
-    rows = lookup_join(rows, _named(pairs, {"x": "y", "y": "z"}, a="f_yz"), ["y", "z"], "inner")
+    rows = _looked_up(triples, _named(words, {"x": "x"}, lang="lang", a="f_x"), ["x"], "inner")
+    rows = _looked_up(rows, _named(words, {"x": "z"}, a="f_z"), ["z"], "inner")
+    rows = _looked_up(rows, _named(pairs, {"x": "x", "y": "y"}, a="f_xy"), PAIR, "inner")
+    rows = _looked_up(rows, _named(pairs, {"x": "y", "y": "z"}, a="f_yz"), ["y", "z"], "inner")
     rows = rows.withColumn("first", _score("a", "f_x", "f_yz")).withColumn("second", _score("a", "f_xy", "f_z"))
     one = F.col("first") <= F.col("second")
     return rows.select(
@@ -288,7 +294,7 @@ def _survivors(pairs: DataFrame, triples: DataFrame, swallowed: int) -> DataFram
     holders = triples.select("x", "y", F.col("a").alias("longest")).unionByName(
         triples.select(F.col("y").alias("x"), F.col("z").alias("y"), F.col("a").alias("longest"))
     ).groupBy(*PAIR).agg(F.max("longest").alias("longest"))
-    alone = lookup_join(pairs.filter("score >= threshold"), holders, PAIR).filter(
+    alone = _looked_up(pairs.filter("score >= threshold"), holders, PAIR).filter(
         F.col("longest").isNull() | (100 * F.col("longest") < swallowed * F.col("a"))
     )
     columns = [*TRIPLE, "lang", "a", "l", "r", "score"]
@@ -304,12 +310,12 @@ def _spelled(found: DataFrame, spelled: DataFrame, sizes: DataFrame, top: int) -
     best = staged(found.withColumn("at", F.rank().over(close)).filter(F.col("at") <= top).drop("at"), "phrases-best")
     needed = best.select(F.explode(F.array("x", "y", "z")).alias("x")).dropna().distinct()
     names = staged(
-        lookup_join(spelled.select("x", "word"), needed, ["x"], "left_semi").groupBy("x").agg(F.min("word").alias("word")),
+        _looked_up(spelled.select("x", "word"), needed, ["x"], "left_semi").groupBy("x").agg(F.min("word").alias("word")),
         "phrases-names",
     )
     rows = best
     for place in TRIPLE:
-        rows = lookup_join(rows, _named(names, {"x": place}, word=f"{place}_word"), [place])
+        rows = _looked_up(rows, _named(names, {"x": place}, word=f"{place}_word"), [place])
     last = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (
         rows.withColumn("phrase", F.concat_ws(" ", *[f"{place}_word" for place in TRIPLE]))
