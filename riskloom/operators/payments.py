@@ -11,6 +11,8 @@ from riskloom.operators.keyed import unseen
 from riskloom.schemas import ALERT
 
 ALL = "TODOS"
+#: Optional column: when a payment happened or arrived.
+EVENT_TIME = "event_time"
 
 
 def clean(payments: DataFrame) -> DataFrame:
@@ -31,8 +33,9 @@ def score(payments: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
 
 
 def alerts(payments: DataFrame, policy: RiskPolicy = RiskPolicy()) -> DataFrame:
-    """The serving table: scored payments with the stored columns only."""
-    return score(clean(payments), policy).select(*ALERT.names)
+    """The serving table: scored payments with the stored columns, and their ``event_time`` if they have one."""
+    times = [EVENT_TIME] if EVENT_TIME in payments.columns else []
+    return score(clean(payments), policy).select(*ALERT.names, *times)
 
 
 def with_status(alert_rows: DataFrame, status: str = ALL) -> DataFrame:

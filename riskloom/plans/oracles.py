@@ -364,6 +364,15 @@ WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 MINUTE FROM visits)""")
         "incremental_close": """
 SELECT o_orderstatus, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys
 FROM orders GROUP BY o_orderstatus""",
+        "two_day_close": _with(PAYMENTS + "," + VISITS, """
+SELECT 'pagos' AS source, CASE WHEN flag_ataque THEN 'rejected' ELSE 'kept' END AS outcome,
+       '2026-01-0' || (CAST(substr(user_id, 2) AS BIGINT) % 2 + 1) AS batch_date,
+       count(*) AS n, count(DISTINCT tx_id) AS n_distinct
+FROM payments GROUP BY ALL
+UNION ALL
+SELECT 'visitas', 'kept', '2026-01-0' || (CAST(substr(user_id, 2) AS BIGINT) % 2 + 1),
+       count(*), count(DISTINCT ip)
+FROM visits GROUP BY ALL"""),
         "keyed_upsert": """
 SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY
@@ -461,6 +470,18 @@ SELECT role, count(*) AS n FROM conversations WHERE conv_id % 4 <> 0 GROUP BY ro
             RETRIEVAL + _hits("p.source = q.own_source"),
             "SELECT query_id, chunk_id, round(sim, 6) AS similarity, rank FROM hits",
         ),
+        "knn_all": """
+WITH pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS chunk_id,
+         list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS sim
+  FROM embeddings q, embeddings c WHERE q.vec_id % 100 = 0)
+SELECT query_id, chunk_id, round(sim, 6) AS similarity, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id) AS rank FROM pairs)
+WHERE rank <= 10""",
+        "lsh_recall": """
+SELECT count(*) AS n_queries, CAST(sum(least(10, (SELECT count(*) FROM embeddings))) AS BIGINT) AS n_wanted,
+       TRUE AS reached
+FROM embeddings WHERE vec_id % 100 = 0""",
         "mmr": _with(picks, "SELECT query_id, chunk_id, rank, pick FROM picks"),
         "context_table": _with(picks + CONTEXTS, "SELECT * FROM contexts"),
         "source_footer": _with(picks + FOOTERS, "SELECT * FROM footers"),

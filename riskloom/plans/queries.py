@@ -21,15 +21,16 @@ from riskloom.operators import visits as vis
 from riskloom.operators.components import connected_components as components_of
 from riskloom.operators.embedding import HashedTfIdf
 from riskloom.operators.lateness import late_rows as late_report
+from riskloom.operators.neighbours import Hyperplanes, best_ranked, block_join
 from riskloom.operators.splits import stratified_split as split_rows
 from riskloom.operators.training import best_on_validation, candidate_heads, predict, train_heads
 from riskloom.plans import views
 from riskloom.plans.corpus import build_index, chunks_of
+from riskloom.plans.nightly_close import CloseFailed, land_all, landings
 from riskloom.session import new_folder
 from riskloom.sinks import files as out
 from riskloom.sinks import projects
 from riskloom.sinks.index import read_index, write_upload
-from riskloom.sinks.keyed import read_keyed, write_batch
 from riskloom.sources import files as src
 from riskloom.streaming import queries as streams
 from riskloom.streaming.sources import file_events
@@ -161,15 +162,16 @@ def payment_rejects(spark, folder):
     )
 
 
+def _visit_lines(spark, folder):
+    """Visits as JSON text, those of people with the frame prefix."""
+    prefix = F.when(F.col("is_bot"), "").otherwise("data: ")
+    line = F.concat(prefix, F.to_json(F.struct(*schemas.VISIT.names)))
+    return views.visits(spark, folder).select(line.alias("value"))
+
+
 @register
 def strip_frame_prefix(spark, folder):
-    lines = views.visits(spark, folder).select(
-        F.concat(
-            F.when(F.col("is_bot"), "").otherwise("data: "),
-            F.to_json(F.struct(*schemas.VISIT.names)),
-        ).alias("value")
-    )
-    return src.decode_json(lines, schemas.VISIT)
+    return src.decode_json(_visit_lines(spark, folder), schemas.VISIT)
 
 
 @register
@@ -260,7 +262,7 @@ def fraud_alerts_stream(spark, folder):
     )
     sink = streams.alert_sink(root)
     sink.start(pay.alerts(arriving, views.POLICY), streams.ONCE).awaitTermination()
-    return read_keyed(spark, sink.table, schemas.ALERT, sink.keys)
+    return sink.read(spark)
 
 
 @register
@@ -270,7 +272,7 @@ def bot_traffic_stream(spark, folder):
     sink = streams.bot_sink(root)
     rows = vis.bot_traffic(arriving, views.blacklist(spark, folder))
     sink.start(rows, streams.ONCE).awaitTermination()
-    return read_keyed(spark, sink.table, schemas.BOT_TRAFFIC, sink.keys)
+    return sink.read(spark)
 
 
 @register
@@ -279,7 +281,7 @@ def window_metrics_stream(spark, folder):
     arriving = views.as_visits(_stream(spark, folder, "events"))
     sink = streams.window_sink(root)
     sink.start(vis.window_metrics(arriving), streams.ONCE).awaitTermination()
-    return _plain_windows(read_keyed(spark, sink.table, schemas.WINDOW_METRIC, sink.keys))
+    return _plain_windows(sink.read(spark))
 
 
 @register
@@ -310,21 +312,48 @@ def incremental_close(spark, folder):
     )
 
 
+@register
+def two_day_close(spark, folder):
+    """Two nights over landing folders that keep their files; each row counts on the day it came.
+
+    Payments of even customers and visits of even users come on the first day.
+    """
+    root = new_folder(spark, "two-days")
+    folders = landings(f"{root}/pagos/*", f"{root}/visitas/*", root)
+    number = F.regexp_extract("value", r'"user_id":"[UV](\d+)"', 1).cast("bigint") % 2
+    for day in (0, 1):
+        for name, lines in (("pagos", _payment_lines), ("visitas", _visit_lines)):
+            lines(spark, folder).filter(number == day).write.text(f"{root}/{name}/{day}")
+        if failures := land_all(spark, folders, f"2026-01-0{day + 1}"):
+            raise CloseFailed(failures)
+    parts = [
+        rows.groupBy("batch_date").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("n_distinct"))
+        .select(F.lit(name).alias("source"), F.lit(outcome).alias("outcome"), "batch_date", "n", "n_distinct")
+        for name, landing in zip(("pagos", "visitas"), folders)
+        for outcome, rows, key in (
+            ("kept", landing.accepted(spark), landing.key), ("rejected", landing.rejected(spark), "value")
+        )
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 # ---------------------------------------------------------------- sinks
 
 
 @register
 def keyed_upsert(spark, folder):
-    """Last order per customer: finished orders are written first, all others in a second batch."""
-    path = f"{new_folder(spark, 'upsert')}/last_order"
+    """Last order per customer: finished orders arrive first, all others in a second batch."""
+    root = new_folder(spark, "upsert")
     orders = views.table(spark, folder, "orders").select(
         "o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus"
     )
     finished = F.col("o_orderstatus") == "F"
-    order = ["o_orderdate", "o_orderkey"]
+    sink = streams.KeyedSink(root, "last_order", orders.schema, ("o_custkey",), ("o_orderdate", "o_orderkey"))
     for number, rows in enumerate([orders.filter(finished), orders.filter(~finished)]):
-        write_batch(rows, number, path, ["o_custkey"], order)
-    return read_keyed(spark, path, orders.schema, ["o_custkey"], order)
+        rows.write.parquet(f"{root}/arriving/{number}")
+        stream = file_events(spark, f"{root}/arriving/*", orders.schema)
+        sink.start(stream, streams.ONCE).awaitTermination()
+    return sink.read(spark)
 
 
 @register
@@ -553,6 +582,34 @@ def knn_filtered(spark, folder):
     return _plain_hits(hits)
 
 
+def _sampled_vectors(spark, folder):
+    """Every hundredth stored vector as a query, all of them as rows."""
+    rows = views.vectors(spark, folder).select(
+        "id", F.lit("all").alias("key"), F.lit(None).cast("string").alias("label"), "vector"
+    )
+    return rows.filter(F.col("id") % 100 == 0), rows
+
+
+@register
+def knn_all(spark, folder):
+    """Every hundredth stored vector against all of them."""
+    hits = best_ranked(block_join(*_sampled_vectors(spark, folder), 10), 10)
+    return _plain_hits(hits)
+
+
+@register
+def lsh_recall(spark, folder):
+    """Whether search by hyperplane signatures finds nine in ten of the rows of ``knn_all``."""
+    queries, rows = _sampled_vectors(spark, folder)
+    exact = best_ranked(block_join(queries, rows, 10, with_vectors=False), 10).select("query_id", "chunk_id")
+    found = Hyperplanes().nearest(queries, rows, 10).select("query_id", "chunk_id", F.lit(1).alias("hit"))
+    return exact.join(found, ["query_id", "chunk_id"], "left").agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count(F.lit(1)).alias("n_wanted"),
+        (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("reached"),
+    )
+
+
 def _retrieved(spark, folder):
     return ret.retrieve(views.questions(spark, folder), views.passages(spark, folder))
 

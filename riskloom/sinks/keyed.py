@@ -1,60 +1,41 @@
-"""Upsert by key on plain Parquet.
+"""Keyed tables held in the state store of a streaming query.
 
-Each micro-batch is written to its own ``batch_id`` partition, reduced to one row per key. A
-replayed batch overwrites its partition, so writing is idempotent and never reads the table. The
-table as seen by readers is the newest row per key over all partitions.
+The last row written for a key is kept as streaming state, so a write touches the keys of its batch
+only, and a read is a scan of the last committed state: it neither merges batches nor grows with their
+number. Replays change nothing, because the state belongs to the checkpoint.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.keyed import latest_by_key
-
-
-def write_batch(
-    batch: DataFrame,
-    batch_id: int,
-    path: str,
-    keys: Sequence[str],
-    order: Sequence[str] = (),
-    sort_by: Sequence = (),
-) -> None:
-    rows = latest_by_key(batch, keys, order)
-    if sort_by:
-        rows = rows.sortWithinPartitions(*sort_by)
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def read_keyed(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    keys: Sequence[str],
-    order: Sequence[str] = (),
-) -> DataFrame:
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(with_batch).parquet(path)
-    return latest_by_key(rows, keys, ["batch_id", *order]).drop("batch_id")
-
-
-def compact(
-    spark: SparkSession,
-    path: str,
-    target: str,
-    schema: T.StructType,
-    keys: Sequence[str],
-    order: Sequence[str] = (),
-    upto: int = 0,
-) -> None:
-    """Fold the batches up to ``upto`` into the first partition of a new table."""
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(with_batch).parquet(path)
-    old = latest_by_key(rows.filter(F.col("batch_id") <= upto), keys, ["batch_id", *order])
-    newer = rows.filter(F.col("batch_id") > upto)
-    folded = old.withColumn("batch_id", F.lit(upto).cast("bigint")).unionByName(newer)
-    folded.write.partitionBy("batch_id").parquet(target)
+ARRIVED = "_arrived"
+#: What Spark says of a query that has committed nothing yet.
+NO_BATCH = ("STDS_COMMITTED_BATCH_UNAVAILABLE", "STDS_OFFSET_LOG_UNAVAILABLE")
+
+
+def last_by_key(stream: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The newest row per key as ``row``: of a later batch, then with the greater ``order``.
+
+    Within a batch the remaining columns break ties. A batch that is replayed has its old time.
+    """
+    order = [c for c in order if c in stream.columns]
+    rest = [c for c in stream.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(ARRIVED, *order, *rest)).alias("row")
+    return stream.withColumn(ARRIVED, F.current_timestamp()).groupBy(*keys).agg(newest)
+
+
+def read_state(spark: SparkSession, checkpoint: str, schema: T.StructType) -> DataFrame:
+    """The rows that :func:`last_by_key` holds; none before the first batch is committed."""
+    try:
+        state = spark.read.format("statestore").load(checkpoint)
+    except PySparkException as error:
+        if error.getCondition() not in NO_BATCH:
+            raise
+        return spark.createDataFrame([], schema)
+    return state.select("key.*", "value.max.*").select(*schema.names)

@@ -1,18 +1,21 @@
-"""The streaming queries: scored payments, bot traffic and window metrics into keyed tables."""
+"""The streaming queries: scored payments, bot traffic and window metrics as serving tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from riskloom import schemas
 from riskloom.functions.risk import RiskPolicy
 from riskloom.operators import payments as pay
 from riskloom.operators import visits as vis
-from riskloom.sinks.keyed import write_batch
+from riskloom.sinks.keyed import last_by_key, read_state
 
 ONCE = {"availableNow": True}
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
@@ -20,49 +23,72 @@ EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 
 @dataclass(frozen=True)
 class KeyedSink:
-    """A keyed table under ``root``; its checkpoint lies beside it."""
+    """A table with one row per key, held as the state of its query under ``root``."""
 
     root: str
     name: str
+    schema: T.StructType
     keys: tuple[str, ...]
     order: tuple[str, ...] = ()
     sort_by: Sequence = field(default=())
 
-    @property
-    def table(self) -> str:
-        return f"{self.root}/{self.name}"
-
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoints/{self.name}"
 
     def start(self, stream: DataFrame, trigger: dict | None = None) -> StreamingQuery:
-        """Append-mode query; a restart with the same checkpoint adds nothing twice."""
-        table, keys, order, sort_by = self.table, self.keys, self.order, self.sort_by
-
-        def save(batch: DataFrame, batch_id: int) -> None:
-            write_batch(batch, batch_id, table, keys, order, sort_by)
-
+        """Update-mode query; a restart with the same checkpoint adds nothing twice."""
         writer = (
-            stream.writeStream.queryName(self.name)
-            .outputMode("append")
+            last_by_key(stream, self.keys, self.order)
+            .writeStream.queryName(self.name)
+            .outputMode("update")
+            .format("noop")
             .option("checkpointLocation", self.checkpoint)
-            .foreachBatch(save)
         )
         return (writer.trigger(**trigger) if trigger else writer).start()
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The table as of the last committed batch; with ``sort_by``, sorted within each first key."""
+        rows = read_state(spark, self.checkpoint, self.schema)
+        if self.sort_by:
+            rows = rows.repartition(self.keys[0]).sortWithinPartitions(*self.sort_by)
+        return rows
+
+
+@dataclass(frozen=True)
+class AppendSink:
+    """A table whose stream gives every key once: files, appended exactly once."""
+
+    root: str
+    name: str
+    schema: T.StructType
+
+    def start(self, stream: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        return append_files(stream, self.root, self.name, trigger)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The table as of the last committed batch, empty before the first."""
+        try:
+            return spark.read.schema(self.schema).parquet(f"{self.root}/{self.name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.schema)
+
 
 def alert_sink(root: str) -> KeyedSink:
-    return KeyedSink(root, "alertas_fraude", ("tx_id",))
+    """The last score of a payment; where payments carry an ``event_time``, by that."""
+    return KeyedSink(root, "alertas_fraude", schemas.ALERT, ("tx_id",), (pay.EVENT_TIME,))
 
 
 def bot_sink(root: str) -> KeyedSink:
     newest_first = ("user_id", F.desc("timestamp"))
-    return KeyedSink(root, "trafico_bot", ("user_id", "timestamp"), sort_by=newest_first)
+    return KeyedSink(root, "trafico_bot", schemas.BOT_TRAFFIC, ("user_id", "timestamp"), sort_by=newest_first)
 
 
-def window_sink(root: str) -> KeyedSink:
-    return KeyedSink(root, "metricas_ventanas", ("window_start",))
+def window_sink(root: str) -> AppendSink:
+    """A window is given out once, when the watermark has passed it."""
+    return AppendSink(root, "metricas_ventanas", schemas.WINDOW_METRIC)
 
 
 def append_files(

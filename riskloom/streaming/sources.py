@@ -33,9 +33,9 @@ def kafka_options(
 def kafka_events(
     spark: SparkSession, servers: str, topic: str, schema: T.StructType, **options
 ) -> DataFrame:
-    """Decoded events of a topic; needs the Kafka connector package at submit time."""
+    """Decoded events of a topic with their ``event_time``; needs the Kafka connector package at submit time."""
     raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options))
-    return decode_json(raw.load(), schema)
+    return decode_json(raw.load().withColumnRenamed("timestamp", "event_time"), schema, keep=("event_time",))
 
 
 def file_events(

@@ -9,7 +9,7 @@ from riskloom.operators import payments as pay
 from riskloom.operators import visits as vis
 from riskloom.operators.splits import stratified_split
 from riskloom.plans import views
-from riskloom.plans.nightly_close import nightly_close
+from riskloom.plans.nightly_close import CloseFailed, land_all, landings, nightly_close
 from riskloom.sinks import projects
 from riskloom.sources.files import has_files, read_csv_or_empty
 
@@ -55,7 +55,8 @@ def test_top_lists_need_no_global_sort(tables):
 def test_nearest_has_no_join_of_all_pairs(spark):
     hits = retrieval.nearest(views.questions(spark, FOLDER), views.passages(spark, FOLDER))
     got = plan(hits)
-    assert "MapInArrow" in got and got.count("WindowGroupLimit") == 2
+    # Two levels of merging, each cut before and after its shuffle.
+    assert "MapInArrow" in got and got.count("WindowGroupLimit") == 4
     for name in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert name not in got
 
@@ -100,6 +101,64 @@ def test_nightly_close(spark, tmp_path):
     assert nodes.filter("tipo = 'PAIS'").first().degree == 9
 
 
+def lines_of(folder, name, rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(rows) + "\n")
+
+
+def test_each_row_counts_on_the_day_it_came(spark, tmp_path):
+    paid, seen = tmp_path / "pagos", tmp_path / "visitas"
+    folders = landings(str(paid), str(seen), str(tmp_path / "out"))
+    for day in (1, 2, 3):
+        if day < 3:
+            lines_of(paid, f"{day}.json", [json.dumps({"tx_id": f"t{day}{i}", "amount": i}) for i in range(4)] + ["", "#broken"])
+            lines_of(seen, f"{day}.txt", [f"data: {json.dumps({'ip': f'1.1.1.{day}'})}", '{"user_id": "no ip"}'])
+        assert land_all(spark, folders, f"2026-01-0{day}") == {}
+    for landing, kept in zip(folders, (4, 1)):
+        days = {r.batch_date: r["count"] for r in landing.accepted(spark).groupBy("batch_date").count().collect()}
+        assert days == {"2026-01-01": kept, "2026-01-02": kept}
+        assert landing.accepted(spark).select(landing.key).distinct().count() == 2 * kept
+        refused = {(r.batch_date, r.value) for r in landing.rejected(spark).collect()}
+        assert len(refused) == 2 and {d for d, _ in refused} == {"2026-01-01", "2026-01-02"}
+    assert {r.value for r in folders[0].rejected(spark).collect()} == {"#broken"}
+
+
+def test_a_batch_run_again_replaces_its_rows_under_any_day(spark, tmp_path):
+    landing = landings(str(tmp_path), str(tmp_path), str(tmp_path / "out"))[0]
+    lines = spark.createDataFrame([('{"tx_id": "a"}',), ("junk",)], "value string")
+    landing._saver("2026-01-01")(lines, 0)
+    landing._saver("2026-01-02")(lines, 0)
+    assert [r.batch_date for r in landing.accepted(spark).collect()] == ["2026-01-02"]
+    assert [r.batch_date for r in landing.rejected(spark).collect()] == ["2026-01-02"]
+
+
+def test_a_folder_that_fails_does_not_stop_the_other(spark, tmp_path):
+    paid, seen, target = tmp_path / "pagos", tmp_path / "visitas", tmp_path / "out"
+    lines_of(paid, "1.json", ['{"tx_id": "a"}'])
+    lines_of(seen, "1.txt", ['{"ip": "1.1.1.1", "pages_visited": 3, "user_id": "u"}'])
+    # The payments' table cannot be written.
+    target.mkdir()
+    (target / "historial_pagos").write_text("in the way")
+    with pytest.raises(CloseFailed) as error:
+        nightly_close(spark, str(paid), str(seen), str(target), "2026-01-01")
+    assert set(error.value.failures) == {"historial_pagos"}
+    assert read_csv_or_empty(spark, f"{target}/top_scrapers_batch", schemas.TOP_SCRAPERS).count() == 1
+    (target / "historial_pagos").unlink()
+    counts = nightly_close(spark, str(paid), str(seen), str(target), "2026-01-02")
+    assert counts == {"payments": 1, "visits": 0}
+
+
+@pytest.mark.parametrize("mode", ["archive", "delete"])
+def test_the_close_clears_what_it_has_landed(spark, tmp_path, mode):
+    paid, seen, target = tmp_path / "pagos", tmp_path / "visitas", tmp_path / "out"
+    archive = str(tmp_path / "archive") if mode == "archive" else None
+    folders = landings(str(paid), str(seen), str(target), mode, archive)
+    for day in range(3):
+        lines_of(paid, f"{day}.json", [json.dumps({"tx_id": f"t{day}"})])
+        assert land_all(spark, folders, f"2026-01-0{day + 1}") == {}
+    assert folders[0].accepted(spark).count() == 3 and len(list(paid.glob("*.json"))) < 3
+
+
 def test_projects_and_turns(spark, tmp_path):
     path, chat = str(tmp_path / "projects"), str(tmp_path / "chat")
     for name in ("uno", "dos"):

@@ -8,29 +8,71 @@ from riskloom import schemas
 from riskloom.operators import payments as pay
 from riskloom.operators import visits as vis
 from riskloom.sinks import files as out
-from riskloom.sinks.keyed import compact, read_keyed, write_batch
 from riskloom.sources import files as src
 from riskloom.streaming import queries as streams
 from riskloom.streaming.sources import file_events, kafka_options
 from riskloom.session import new_folder, shared_folder
 
 
+def write_rows(spark, folder, number, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{number}")
+
+
+def upsert(spark, folder, sink):
+    sink.start(file_events(spark, f"{folder}/*", sink.schema), streams.ONCE).awaitTermination()
+
+
 def test_keyed_table_keeps_the_last_write_and_replays(spark, tmp_path):
-    path = str(tmp_path / "t")
-    schema = "k string, v int"
-    first = spark.createDataFrame([("a", 1), ("a", 2), ("b", 5)], schema)
-    second = spark.createDataFrame([("a", 0), ("c", 9)], schema)
+    folder, schema = str(tmp_path / "in"), "k string, v int, at int, note string"
+    sink = streams.KeyedSink(str(tmp_path), "t", spark.createDataFrame([], schema).schema, ("k",), ("at",))
+    assert sink.read(spark).collect() == []
+    write_rows(spark, folder, 0, [("a", 9, 1, "x"), ("a", 2, 5, None), ("b", 5, 1, "y"), (None, 1, 1, "null key")], schema)
+    for _ in range(2):
+        upsert(spark, folder, sink)
+    assert {r.k: (r.v, r.note) for r in sink.read(spark).collect()} == {"a": (2, None), "b": (5, "y"), None: (1, "null key")}
+    # A later batch wins even with a smaller order.
+    write_rows(spark, folder, 1, [("a", 0, 0, "late"), ("c", 9, 1, "")], schema)
     for _ in range(2):
-        write_batch(first, 0, path, ["k"])
-        write_batch(second, 1, path, ["k"])
-    want = {"a": 0, "b": 5, "c": 9}
-    table = read_keyed(spark, path, first.schema, ["k"])
-    assert {r.k: r.v for r in table.collect()} == want and table.count() == 3
-    target = str(tmp_path / "folded")
-    write_batch(spark.createDataFrame([("b", 7)], schema), 2, path, ["k"])
-    compact(spark, path, target, first.schema, ["k"], upto=1)
-    table = read_keyed(spark, target, first.schema, ["k"])
-    assert {r.k: r.v for r in table.collect()} == {**want, "b": 7}
+        upsert(spark, folder, sink)
+    rows = sink.read(spark).collect()
+    assert {r.k: r.v for r in rows} == {"a": 0, "b": 5, "c": 9, None: 1} and len(rows) == 4
+
+
+def test_reading_a_keyed_table_does_not_grow_with_its_batches(spark, tmp_path):
+    folder, schema = str(tmp_path / "in"), "k int, v int"
+    sink = streams.KeyedSink(str(tmp_path), "t", spark.createDataFrame([], schema).schema, ("k",))
+    for number in range(20):
+        write_rows(spark, folder, number, [(k, 100 * number + k) for k in range(number % 5, 10)], schema)
+    stream = file_events(spark, f"{folder}/*", sink.schema, max_files=1)
+    sink.start(stream, streams.ONCE).awaitTermination()
+    rows = sink.read(spark)
+    # One task per partition of the state; no file of a batch is listed or opened.
+    state = spark.read.format("state-metadata").load(sink.checkpoint).first()
+    assert state.maxBatchId == 19 and rows.rdd.getNumPartitions() == state.numPartitions
+    assert rows.inputFiles() == [] and "FileScan" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert {r.k: r.v for r in rows.collect()} == {k: max(100 * n + k for n in range(20) if k >= n % 5) for k in range(10)}
+
+
+def test_bot_traffic_is_read_newest_first(spark, tmp_path):
+    folder, sink = str(tmp_path / "in"), streams.bot_sink(str(tmp_path))
+    rows = [(f"u{i % 3}", "ip", i, f"2026-01-01T00:00:{i:02}", None) for i in (5, 1, 9, 3, 7, 0, 2, 4, 6, 8)]
+    write_rows(spark, folder, 0, rows, sink.schema)
+    upsert(spark, folder, sink)
+    read = {}
+    for r in sink.read(spark).collect():
+        read.setdefault(r.user_id, []).append(r.timestamp)
+    assert len(read) == 3 and all(times == sorted(times, reverse=True) for times in read.values())
+
+
+def test_alerts_keep_the_newest_event(spark, tmp_path):
+    folder, sink = str(tmp_path / "in"), streams.alert_sink(str(tmp_path))
+    schema = schemas.PAYMENT.simpleString()[7:-1].replace(":", " ") + ", event_time timestamp"
+    early, late = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
+    rows = [("t", "u", amount, "EUR", "ES", "VISA", False, at) for amount, at in ((9000.0, early), (1.0, late))]
+    write_rows(spark, folder, 0, rows, schema)
+    stream = file_events(spark, f"{folder}/*", schema)
+    sink.start(pay.alerts(stream), streams.ONCE).awaitTermination()
+    assert [r.amount for r in sink.read(spark).collect()] == [1.0]
 
 
 def test_csv_export_and_missing_export(spark, tmp_path):
@@ -122,13 +164,8 @@ def test_streams_equal_batch_and_replay_adds_nothing(spark, tmp_path):
 
     def tables():
         found = []
-        for sink, schema in (
-            (streams.alert_sink(root), schemas.ALERT),
-            (streams.bot_sink(root), schemas.BOT_TRAFFIC),
-            (streams.window_sink(root), schemas.WINDOW_METRIC),
-        ):
-            table = read_keyed(spark, sink.table, schema, sink.keys)
-            found.append(sorted(map(str, table.collect())))
+        for sink in (streams.alert_sink(root), streams.bot_sink(root), streams.window_sink(root)):
+            found.append(sorted(map(str, sink.read(spark).collect())))
         return found
 
     run()
@@ -216,6 +253,5 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     write_json(source, "2.json", visit_rows([2, 2, 29.5, 40], "late"))
     # Both rows of minute 2 fall into one partial count before the state is reached.
     assert run() >= 1
-    table = read_keyed(spark, sink.table, schemas.WINDOW_METRIC, sink.keys)
-    starts = {(r.window_start - START).total_seconds() / 60 for r in table.collect()}
+    starts = {(r.window_start - START).total_seconds() / 60 for r in sink.read(spark).collect()}
     assert starts == {0, 1, 29, 30}
