@@ -88,16 +88,38 @@ def test_latest_by_key(spark):
     assert got == {"a": "z", "b": None, None: "n"}
 
 
-@pytest.mark.parametrize("block", [1, 3, 1000])
+DENSE, SPARSE = (0, 1, 2, 5, 9, 10, 11, 40), (-(10**17), -1001, -3, 0, 3, 999, 10**12, 10**17 + 1)
+
+
+@pytest.mark.parametrize("block, values", [(1, DENSE), (3, DENSE), (1000, DENSE), (1000, SPARSE)])
 @pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("max_group", [1, 1000])
-def test_running_total_over_blocks(spark, block, descending, max_group):
-    data = [(k, t, (t * 7) % 5) for k in ("a", "b", None) for t in (0, 1, 2, 5, 9, 10, 11, 40)]
+def test_running_total_over_blocks(spark, block, descending, values):
+    data = [(k, t, (t * 7) % 5) for k in ("a", "b", None) for t in values]
     df = spark.createDataFrame(data, "k string, t bigint, v bigint")
-    got = running(df, ["k"], "t", F.col("v"), block, descending=descending,
-                  max_group=max_group).collect()
+    got = running(df, ["k"], "t", F.col("v"), block, descending=descending).collect()
     assert len(got) == len(data)
     for row in got:
         same = [(t, v) for k, t, v in data if k == row.k]
         upto = sum(v for t, v in same if (t >= row.t if descending else t <= row.t))
         assert row.running == upto
+
+
+def test_running_total_over_a_million_sparse_blocks_without_a_key(spark):
+    rows = spark.range(1_000_000).select((F.col("id") * 10**9 + F.col("id") % 7).alias("t"), (F.col("id") % 10).alias("v"))
+    got = running(rows, [], "t", F.col("v"), 1000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    # No window of totals holds more than the blocks of one block.
+    widest = rows.selectExpr("t div 1000000 AS block", "t div 1000 AS own").groupBy("block").agg(F.count_distinct("own").alias("n"))
+    assert widest.agg(F.max("n")).first()[0] <= 2000
+    n = F.floor(F.col("t") / 10**9)
+    want = F.floor(n / 10) * 45 + (n % 10) * (n % 10 + 1) / 2
+    assert got.filter(F.col("running") != want).count() == 0 and got.count() == 1_000_000
+
+
+def test_running_totals_of_equal_numbers_follow_the_ties(spark):
+    rows = [("k", 1, v, name) for v, name in ((1, "a"), (2, "b"), (4, "c"))] + [("k", None, 8, "d")]
+    df = spark.createDataFrame(rows, "k string, t bigint, v bigint, name string")
+    for block in (2, 1000):
+        got = running(df, ["k"], "t", F.col("v"), block, ties=(F.desc("name"),)).collect()
+        assert {r.name: r.running for r in got} == {"d": 8, "c": 12, "b": 14, "a": 15}

@@ -75,8 +75,8 @@ def test_late_rows_use_the_earlier_batches_only(spark):
         (2501, day + dt.timedelta(days=10)),
     ]
     events = spark.createDataFrame(rows, "batch bigint, ts timestamp")
-    for max_group in (1, 1000):
-        got = late_rows(events, "batch", "ts", "1 day", block=2, max_group=max_group)
+    for block in (2, 1000):
+        got = late_rows(events, "batch", "ts", "1 day", block=block)
         assert {r.batch: (r.n_rows, r.n_late) for r in got.collect()} == {
             0: (2, 0), 1: (2, 1), 2500: (2, 1), 2501: (1, 1),
         }
