@@ -20,12 +20,15 @@ from pyspark.sql import functions as F
 from riskloom.llm import texts
 from riskloom.llm.folders import staged
 from riskloom.llm.memory import lean
+from riskloom.operators.joins import lookup_join
 
 WINDOW = 48
 MEAN_BYTES = 2048
 LEAST_BYTES = 256
 MOST_BYTES = 16384
 NULL_ID = -(1 << 63)
+#: Groups of copies that are broadcast; more are joined by a shuffle without the largest of them.
+LOOKUP_BYTES = 16 << 20
 
 
 def cuts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
@@ -146,11 +149,18 @@ def exact_duplicates(documents: DataFrame, key_bits: int = 64) -> DataFrame:
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda x: x["part"]).alias("recipe"))
         )
         named = rows.join(exact, ["doc_id", "text_sha256"])
-    groups = named.groupBy("n_bytes", "recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    # Only texts that occur more than once are looked up; one with very many copies stays spread.
+    keys = ["n_bytes", "recipe"]
+    groups = staged(
+        named.groupBy(*keys).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .filter("group_size > 1"),
+        "recipe-groups",
     )
     real = lambda name: F.when(F.col(name) != NULL_ID, F.col(name)).alias(name)
-    return named.join(groups, ["n_bytes", "recipe"]).select(
+    found = lookup_join(named, groups, keys, "left", LOOKUP_BYTES).withColumns(
+        {"keep_id": F.coalesce("keep_id", "doc_id"), "group_size": F.coalesce("group_size", F.lit(1).cast("long"))}
+    )
+    return found.select(
         real("doc_id"),
         real("keep_id"),
         "group_size",
