@@ -12,12 +12,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.folders import staged
 from riskloom.llm.memory import lean
+from riskloom.operators.joins import lookup_join
 
 NULL_ID = -(1 << 63)
 #: White space that is stripped from a line for its key.
 BLANKS = b" \t\n\x0b\x0c\r"
 LEAST_POINTS = 10
+#: Shared lines that are broadcast; more are joined by a shuffle without the most frequent of them.
+LOOKUP_BYTES = 16 << 20
 
 
 def line_keys(raw: bytes) -> list[bytes]:
@@ -73,15 +77,18 @@ def drop_shared_lines(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("mark", F.xxhash64("text"))
-    lines = _hashed(docs.select("doc_id", "mark", F.col("text").cast("binary")), least_points)
+    # Written once: the lines are counted, and the shared ones are looked up.
+    lines = staged(_hashed(docs.select("doc_id", "mark", F.col("text").cast("binary")), least_points), "lines")
     shared = lines.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     if min_docs == 2:
         shared = shared.filter("first < last")
     else:
         counts = lines.select("high", "low", "doc_id").distinct().groupBy("high", "low").count()
         shared = shared.join(counts.filter(F.col("count") >= min_docs), ["high", "low"])
+    shared = staged(shared.select("high", "low", "first"), "shared-lines")
     drops = (
-        lines.join(shared.select("high", "low", "first"), ["high", "low"])
+        # A line that very many documents hold stays spread.
+        lookup_join(lines, shared, ["high", "low"], "inner", LOOKUP_BYTES)
         .filter("doc_id > first")
         .groupBy("doc_id", "mark")
         .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
