@@ -16,6 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.folders import staged
+from riskloom.operators.joins import lookup_join
+
+#: Judged addresses that are broadcast; more are joined by a shuffle without the most frequent of them.
+LOOKUP_BYTES = 16 << 20
 #: Keys looked at to choose the ranges, for each range.
 KEYS_PER_RANGE = 20
 MOST_RANGES = 2000
@@ -27,12 +32,11 @@ def with_host_and_path(pages: DataFrame) -> DataFrame:
     """Add ``host`` and ``path`` of ``url``; both are empty without ``://``."""
     at = F.instr("url", "://")
     rest = F.when(at > 0, F.expr("substring(url, instr(url, '://') + 3)")).otherwise(F.lit(""))
-    found = pages.withColumn("_rest", F.coalesce(rest, F.lit("")))
-    return (
-        found.withColumn("host", F.translate(F.regexp_extract("_rest", r"\A([^/?#]*)", 1), _UPPER, _LOWER))
-        .withColumn("path", F.regexp_extract("_rest", r"\A[^/?#]*([^?#]*)", 1))
-        .drop("_rest")
-    )
+    rest = F.coalesce(rest, F.lit(""))
+    return pages.withColumns({
+        "host": F.translate(F.regexp_extract(rest, r"\A([^/?#]*)", 1), _UPPER, _LOWER),
+        "path": F.regexp_extract(rest, r"\A[^/?#]*([^?#]*)", 1),
+    })
 
 
 def canonical_key(host: str, path: str) -> str:
@@ -136,7 +140,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         .agg(F.max(F.struct(F.length("rule").alias("n"), "rule")).alias("best"))
         .select("host", "path", F.col("best.rule").alias("rule"))
     )
-    judged = best.join(known, "rule")
-    return pages.join(judged, ["host", "path"], "left").withColumn(
-        "verdict", F.coalesce("verdict", F.lit(default))
-    )
+    judged = staged(best.join(known, "rule"), "url-verdicts")
+    # Only pages with a host can have a rule; a host that very many share stays spread.
+    ruled = lookup_join(pages.filter("host <> ''"), judged, ["host", "path"], "left", LOOKUP_BYTES)
+    free = pages.filter("host = ''").withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(None).cast("string")})
+    return ruled.select(*free.columns).unionByName(free).withColumn("verdict", F.coalesce("verdict", F.lit(default)))
