@@ -249,12 +249,12 @@ def _sides(batches: list[pa.RecordBatch], policy: PuPolicy) -> tuple[tuple, tupl
     return positive, unlabelled, chosen
 
 
-def score(documents: DataFrame, model: Fitted) -> DataFrame:
-    """All columns of ``documents`` with ``toxicity`` from 0 to 1, in place of one of that name.
+def score(documents: DataFrame, model: Fitted, output: str = "toxicity") -> DataFrame:
+    """All columns of ``documents`` with the score from 0 to 1 as ``output``, in place of one of that name.
 
     A null text is an empty one. Rows are scored one by one.
     """
-    documents = documents.drop("toxicity")
+    documents = documents.drop(output)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     names = documents.columns
     at = names.index("text")
@@ -265,8 +265,8 @@ def score(documents: DataFrame, model: Fitted) -> DataFrame:
             found = [shared.value.scores(*x, columns) for x in word_cells(batch.column(at))]
             values = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(values, pa.float64())], [*names, "toxicity"]
+                [*batch.columns, pa.array(values, pa.float64())], [*names, output]
             )
 
-    schema = documents.withColumn("toxicity", F.lit(0.0)).schema
+    schema = documents.withColumn(output, F.lit(0.0)).schema
     return documents.mapInArrow(lean(run), schema)

@@ -228,7 +228,8 @@ def test_urls(spark):
         "http://org/\x01/", "http://x.orgé/", "http://co.com/de/",
     ]
     frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls * 3)], "page_id long, url string")
-    frame = frame.withColumns({"host": F.lit(1), "rule": F.lit(2), "key": F.lit(3)})
+    frame = frame.withColumns({"host": F.lit(1), "rule": F.lit(2), "key": F.lit(3), "_rest": F.lit("kept")})
+    assert {r._rest for r in url_rules.judge(frame, spark.createDataFrame(queries.URL_RULES, "rule string, verdict string")).collect()} == {"kept"}
     rules = spark.createDataFrame(queries.URL_RULES, "rule string, verdict string")
     got = by_id(url_rules.judge(frame, rules), "page_id", "host", "path", "rule", "verdict")
     assert got == {i: brute.url(u) for i, u in enumerate(urls * 3)}
@@ -297,6 +298,27 @@ def test_toxicity_with_confirmed_toxic_labels_only(spark):
     assert all((r.toxicity >= 0.5) == (r.doc_id % 8 == 0) for r in scores)
 
 
+def test_groups_beyond_the_broadcast_bound(spark, docs, monkeypatch):
+    """Hot keys leave the shuffle; results stay the same."""
+    from riskloom.operators import joins
+
+    for module in (chunk_recipes, lines, url_rules):
+        monkeypatch.setattr(module, "LOOKUP_BYTES", 0)
+    many = [(100 + i, "copied many times over, a line of its own") for i in range(60)]
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(many, "doc_id long, text string"))
+    held = [*DOCS, *many]
+    split = joins.hot_split_join
+    monkeypatch.setattr(joins, "hot_split_join", lambda *a, **k: split(*a, **k, min_hot_rows=10))
+    found = chunk_recipes.exact_duplicates(more)
+    assert by_id(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == brute.exact(held)
+    found = lines.drop_shared_lines(more).withColumn("sha", F.sha2("kept", 256))
+    assert by_id(found, "doc_id", "n_lines", "n_dropped", "sha") == brute.lines(held)
+    pages = [(i, ["http://example.org/es/1", None, "http://com/fr/", "http://x.org/"][i % 4 if i > 40 else 0]) for i in range(80)]
+    rules = spark.createDataFrame(queries.URL_RULES, "rule string, verdict string")
+    got = by_id(url_rules.judge(spark.createDataFrame(pages, "page_id long, url string"), rules), "page_id", "host", "path", "rule", "verdict")
+    assert got == {i: brute.url(u) for i, u in pages}
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     rules = spark.createDataFrame(queries.URL_RULES, "rule string, verdict string")
