@@ -20,8 +20,8 @@ from riskloom.operators.joins import lookup_join
 ORACLE_SQL = None
 
 
-#: Columns added while a stage runs: the id with a number for null, the digest of the text.
-ID, DIGEST = "_pipeline_id", "_pipeline_digest"
+#: Columns added while a stage runs: the id with a number for null, the digest of the text, the score.
+ID, DIGEST, TOXICITY = "_pipeline_id", "_pipeline_digest", "_pipeline_toxicity"
 
 
 def _number(name: str = "doc_id"):
@@ -75,7 +75,7 @@ def _restored(keyed: DataFrame, docs: DataFrame) -> DataFrame:
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic; it learns from the labelled ones."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("toxicity < 0.5").drop("toxicity")
+    return toxicity.score(docs, model, TOXICITY).filter(F.col(TOXICITY) < 0.5).drop(TOXICITY)
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
