@@ -146,10 +146,16 @@ questions AS (
 """
 
 
-def _hits(condition: str = "TRUE") -> str:
+def _cosine(left: str, right: str, rounded: bool) -> str:
+    """To 12 decimals where sums of another order must tie."""
+    plain = f"list_cosine_similarity({left}, {right})"
+    return f"round(CASE WHEN isnan({plain}) THEN 0 ELSE {plain} END, 12)" if rounded else plain
+
+
+def _hits(condition: str = "TRUE", rounded: bool = False) -> str:
     return f""",
 pairs AS (
-  SELECT q.query_id, p.chunk_id, list_cosine_similarity(q.vector, p.vector) AS sim
+  SELECT q.query_id, p.chunk_id, {_cosine("q.vector", "p.vector", rounded)} AS sim
   FROM questions q JOIN passages p ON p.project_id = q.project_id AND {condition}),
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id)
@@ -158,11 +164,14 @@ hits AS (SELECT * FROM ranked WHERE rank <= 10)
 """
 
 
-def _picks(steps: int = 5) -> str:
-    parts = [""",
+def _gain(rounded: bool) -> str:
+    return "round(0.5 * h.sim - 0.5 * max(m.sim), 9)" if rounded else "0.5 * h.sim - 0.5 * max(m.sim)"
+
+
+def _picks(steps: int = 5, rounded: bool = False) -> str:
+    parts = [f""",
 among AS (
-  SELECT a.query_id, a.chunk_id, b.chunk_id AS other,
-         list_cosine_similarity(pa.vector, pb.vector) AS sim
+  SELECT a.query_id, a.chunk_id, b.chunk_id AS other, {_cosine("pa.vector", "pb.vector", rounded)} AS sim
   FROM hits a JOIN hits b ON b.query_id = a.query_id
   JOIN passages pa ON pa.chunk_id = a.chunk_id JOIN passages pb ON pb.chunk_id = b.chunk_id),
 picked1 AS (SELECT query_id, chunk_id, rank, 1 AS pick FROM hits WHERE rank = 1)
@@ -174,7 +183,7 @@ picked{step} AS (
   UNION ALL
   SELECT query_id, chunk_id, rank, {step} FROM (
     SELECT h.query_id, h.chunk_id, h.rank, row_number() OVER (
-             PARTITION BY h.query_id ORDER BY 0.5 * h.sim - 0.5 * max(m.sim) DESC, h.rank) AS best
+             PARTITION BY h.query_id ORDER BY {_gain(rounded)} DESC, h.rank) AS best
     FROM hits h
     JOIN among m ON m.query_id = h.query_id AND m.chunk_id = h.chunk_id
     JOIN picked{step - 1} p ON p.query_id = m.query_id AND p.chunk_id = m.other
@@ -191,6 +200,47 @@ picks AS (
     return "".join(parts)
 
 
+def _sketch(name: str, fitted: str | None = None) -> str:
+    """Count sketches of the texts of a table (id, text), with its own weights or those of ``fitted``."""
+    weights = f"""
+{name}_weights AS (
+  SELECT b, CAST(floor(1000 * ln(((SELECT count(*) FROM {name}) + 1) / (count(DISTINCT id) + 1))) AS BIGINT) + 1
+    AS weight
+  FROM (SELECT unnest(range(256)) AS b) LEFT JOIN {name}_words ON bucket = b GROUP BY b),"""
+    return f""",
+{name}_words AS (
+  SELECT id, ('0x' || md5(word)[1:7])::BIGINT % 256 AS bucket,
+         1 - 2 * (('0x' || md5(word)[8:8])::BIGINT % 2) AS sign
+  FROM (SELECT id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+')) AS word FROM {name})),{"" if fitted else weights}
+{name}_cells AS (
+  SELECT id, bucket, CAST(sum(sign) * any_value(weight) AS BIGINT) AS cell
+  FROM {name}_words JOIN {fitted or name}_weights ON b = bucket GROUP BY id, bucket),
+{name}_grid AS (SELECT id, b FROM {name}, (SELECT unnest(range(256)) AS b)),
+{name}_vectors AS (
+  SELECT g.id, list(coalesce(cell, 0) ORDER BY b) AS vector
+  FROM {name}_grid g LEFT JOIN {name}_cells c ON c.id = g.id AND c.bucket = g.b GROUP BY g.id)
+"""
+
+
+CORPUS_SEARCH = CHUNKS + """,
+parts AS (
+  SELECT doc_id * 8388608 + chunk_no AS id, project_id, source, page, text FROM chunks
+  WHERE source LIKE '%.pdf' OR source LIKE '%.txt'),
+last_turns AS (
+  SELECT conv_id, arg_max(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id),
+wanted AS (
+  SELECT conv_id AS id, d.project_id, question AS text FROM last_turns JOIN docs d ON d.doc_id = conv_id)
+""" + _sketch("parts") + _sketch("wanted", "parts") + """,
+passages AS (
+  SELECT id AS chunk_id, project_id, source, page, text, CAST(vector AS DOUBLE[]) AS vector
+  FROM parts JOIN parts_vectors USING (id)),
+questions AS (
+  SELECT id AS query_id, project_id, CAST(vector AS DOUBLE[]) AS vector FROM wanted JOIN wanted_vectors USING (id))
+"""
+
+
 CONTEXTS = """,
 contexts AS (
   SELECT query_id, string_agg(text, chr(10) || chr(10) ORDER BY pick) AS context
@@ -482,6 +532,12 @@ WHERE rank <= 10""",
 SELECT count(*) AS n_queries, CAST(sum(least(10, (SELECT count(*) FROM embeddings))) AS BIGINT) AS n_wanted,
        TRUE AS reached
 FROM embeddings WHERE vec_id % 100 = 0""",
+        "hashed_embeddings": _with("texts AS (SELECT doc_id AS id, text FROM documents)" + _sketch("texts"), """
+SELECT id AS doc_id, CAST(len(vector) AS INTEGER) AS width,
+       array_to_string(list_transform(vector, lambda v: CAST(v AS VARCHAR)), ',') AS vector
+FROM texts_vectors"""),
+        "corpus_search": _with(CORPUS_SEARCH + _hits(rounded=True) + _picks(rounded=True), """
+SELECT query_id, pick, rank, chunk_id, source, page FROM picks"""),
         "mmr": _with(picks, "SELECT query_id, chunk_id, rank, pick FROM picks"),
         "context_table": _with(picks + CONTEXTS, "SELECT * FROM contexts"),
         "source_footer": _with(picks + FOOTERS, "SELECT * FROM footers"),

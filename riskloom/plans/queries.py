@@ -19,7 +19,7 @@ from riskloom.operators import payments as pay
 from riskloom.operators import retrieval as ret
 from riskloom.operators import visits as vis
 from riskloom.operators.components import connected_components as components_of
-from riskloom.operators.embedding import HashedTfIdf
+from riskloom.operators.embedding import CountSketch
 from riskloom.operators.lateness import late_rows as late_report
 from riskloom.operators.neighbours import Hyperplanes, best_ranked, block_join
 from riskloom.operators.splits import stratified_split as split_rows
@@ -553,8 +553,8 @@ def history_append(spark, folder):
 @register
 def hashed_embeddings(spark, folder):
     rows = views.documents(spark, folder).select("doc_id", "text")
-    return HashedTfIdf().fit(rows).transform(rows).select(
-        "doc_id", F.size("vector").alias("width"), milli(F.col("vector")).alias("vector_milli")
+    return CountSketch().fit(rows).transform(rows).select(
+        "doc_id", F.size("vector").alias("width"), joined(F.transform("vector", lambda v: v.cast("bigint"))).alias("vector")
     )
 
 
