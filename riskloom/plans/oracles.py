@@ -374,6 +374,27 @@ FROM payments"""),
         "payment_rejects": _with(PAYMENTS, """
 SELECT CASE WHEN flag_ataque THEN 'rejected' ELSE 'kept' END AS outcome, count(*) AS n
 FROM payments GROUP BY ALL"""),
+        "payments_from_json": _with(PAYMENTS, """
+SELECT card_country, method, count(*) AS n, count(tx_id) AS n_keys, count(amount) AS n_amounts,
+       round(sum(amount), 2) AS total
+FROM (SELECT CASE WHEN NOT flag_ataque THEN tx_id END AS tx_id,
+             CASE WHEN NOT flag_ataque AND method <> '1-URGENT' THEN amount END AS amount,
+             CASE WHEN NOT flag_ataque THEN card_country END AS card_country,
+             CASE WHEN NOT flag_ataque THEN method END AS method FROM payments)
+GROUP BY card_country, method"""),
+        "visits_from_text": _with(VISITS, f"SELECT {VISIT_COLUMNS} FROM visits"),
+        "missing_blacklist": _with(VISITS, """
+SELECT user_id, ip, pages_visited, "timestamp", CAST(NULL AS VARCHAR) AS riesgo_historico
+FROM visits WHERE is_bot"""),
+        "chunks_rebuilt": """
+SELECT doc_id, TRUE AS short, TRUE AS numbered, md5(regexp_replace(text, '[ \t\n\x0B\f\r]', '', 'g')) AS signs
+FROM documents WHERE regexp_matches(text, '[^ \t\n\x0B\f\r]')""",
+        "registered_projects": """
+SELECT lang AS name, count(DISTINCT lang) AS n_ids, 36 AS id_length, TRUE AS timed FROM documents GROUP BY lang""",
+        "exported_members": _with(VISITS, """
+SELECT user_id, CAST(count(DISTINCT ip) AS INTEGER) AS n_members, max(ip) AS last_member,
+       bool_or(ip IN (SELECT '10.0.' || i || '.' || i FROM range(40) t(i))) AS marked
+FROM visits GROUP BY user_id"""),
         "strip_frame_prefix": _with(VISITS, f"SELECT {VISIT_COLUMNS} FROM visits"),
         "history_messages": """
 SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role, text

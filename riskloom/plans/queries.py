@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.functions import rasters as ras
 from riskloom.functions import text as txt
+from riskloom.functions.threat import member_list
 from riskloom.operators import chunking, conversations, evaluation, graph, images, rings
 from riskloom.operators import payments as pay
 from riskloom.operators import retrieval as ret
@@ -152,6 +153,31 @@ def decode_events_json(spark, folder):
     return decoded.withColumn("flag_ataque", F.col("flag_ataque").cast("string"))
 
 
+@register
+def payments_from_json(spark, folder):
+    """Payments written as JSON lines and read with the fixed schema; damaged lines are rows of NULLs."""
+    path = f"{new_folder(spark, 'json')}/pagos"
+    _payment_lines(spark, folder).write.text(path)
+    return src.read_payments_json(spark, path).groupBy("card_country", "method").agg(
+        F.count(F.lit(1)).alias("n"), F.count("tx_id").alias("n_keys"), F.count("amount").alias("n_amounts"),
+        F.round(F.sum("amount"), 2).alias("total"),
+    )
+
+
+@register
+def visits_from_text(spark, folder):
+    path = f"{new_folder(spark, 'text')}/visitas"
+    _visit_lines(spark, folder).write.text(path)
+    return src.read_visits_text(spark, path)
+
+
+@register
+def missing_blacklist(spark, folder):
+    """Without the file of addresses only visits of bots are kept, none with a risk."""
+    absent = src.read_blacklist(spark, f"{new_folder(spark, 'absent')}/blacklist.csv")
+    return vis.bot_traffic(views.visits(spark, folder), absent)
+
+
 @register
 def payment_rejects(spark, folder):
     decoded = src.decode_json(_payment_lines(spark, folder), schemas.PAYMENT)
@@ -495,6 +521,20 @@ def chunks_recursive(spark, folder):
     return chunking.chunk_recursive(views.documents(spark, folder).select("doc_id", "text"))
 
 
+@register
+def chunks_rebuilt(spark, folder):
+    """What every splitting must hold: length, numbering, and all signs but blanks, once and in order."""
+    rows = views.documents(spark, folder).select("doc_id", "text")
+    apart = chunking.chunk_recursive(rows, overlap=0)
+    plain = lambda text: F.md5(F.regexp_replace(text, r"\s", ""))
+    ordered = F.array_sort(F.collect_list(F.struct("chunk_no", "text")))
+    return apart.groupBy("doc_id").agg(
+        (F.max(F.length("text")) <= 500).alias("short"),
+        (F.max("chunk_no") + 1 == F.count_distinct("chunk_no")).alias("numbered"),
+        plain(F.concat_ws("", F.transform(ordered, lambda c: c["text"]))).alias("signs"),
+    )
+
+
 @register
 def chunk_counts(spark, folder):
     return chunking.chunk_counts(chunking.chunk_fixed(views.documents(spark, folder)))
@@ -520,6 +560,34 @@ def project_registry(spark, folder):
     )
 
 
+@register
+def registered_projects(spark, folder):
+    """Languages registered in two goes; every project has an id of its own and a time."""
+    path = f"{new_folder(spark, 'registered')}/projects"
+    names = views.documents(spark, folder).select(F.col("project_id").alias("name")).distinct()
+    for chosen in (F.col("name") < "es", F.col("name") >= "es"):
+        projects.register_projects(names.filter(chosen), path)
+    stored = spark.read.schema(schemas.PROJECT).parquet(path)
+    return stored.groupBy("name").agg(
+        F.count_distinct("id").alias("n_ids"), F.max(F.length("id")).alias("id_length"),
+        F.every(F.try_to_timestamp("created_at", F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()).alias("timed"),
+    )
+
+
+@register
+def exported_members(spark, folder):
+    """Exported lists of a country's addresses: read as lists, compared with the listed addresses."""
+    visits = views.visits(spark, folder)
+    listed = F.array_sort(F.collect_set("ip"))
+    groups = visits.groupBy("user_id").agg(F.concat_ws(" , ", listed).alias("miembros"))
+    marked = F.array(*[F.lit(f"10.0.{i}.{i}") for i in range(40)])
+    names = member_list(F.col("miembros"))
+    return groups.select(
+        "user_id", F.size(names).alias("n_members"), F.array_max(names).alias("last_member"),
+        F.arrays_overlap(names, marked).alias("marked"),
+    )
+
+
 @register
 def project_files(spark, folder):
     supported = src.supported(views.documents(spark, folder))
