@@ -431,6 +431,16 @@ WHERE newest = 1"""),
         "window_metrics_stream": _with(WINDOWS, """
 SELECT * FROM windows
 WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 MINUTE FROM visits)"""),
+        "observed_streams": _with(PAYMENTS + "," + BOTS, """
+SELECT 'alertas_fraude' AS name, count(*) AS n_in, count(*) FILTER (flag_ataque) AS n_rejected,
+       CAST(0 AS BIGINT) AS n_dropped, count(*) FILTER (NOT flag_ataque) AS n_held
+FROM payments
+UNION ALL
+SELECT 'trafico_bot', (SELECT count(*) FROM visits), 0, 0, count(DISTINCT (user_id, "timestamp")) FROM bots
+UNION ALL
+SELECT 'metricas_ventanas', (SELECT count(*) FROM visits), 0, 0, count(*)
+FROM (SELECT DISTINCT date_trunc('minute', event_time) AS start FROM visits)
+WHERE start + INTERVAL 1 MINUTE <= (SELECT max(event_time) - INTERVAL 1 MINUTE FROM visits)"""),
         "dedup_stream": "SELECT event_id, ts, user_id, event_type FROM events",
         "incremental_close": """
 SELECT o_orderstatus, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys

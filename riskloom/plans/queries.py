@@ -34,6 +34,7 @@ from riskloom.sinks import projects
 from riskloom.sinks.index import read_index, write_upload
 from riskloom.sources import files as src
 from riskloom.streaming import queries as streams
+from riskloom.streaming.observed import DROPPED, REJECTED, ROWS, run_until_idle, watched
 from riskloom.streaming.sources import file_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +311,35 @@ def window_metrics_stream(spark, folder):
     return _plain_windows(sink.read(spark))
 
 
+@register
+def observed_streams(spark, folder):
+    """The three streams side by side on a processing-time trigger; what they read, refused and hold.
+
+    Payments of attackers come without their id.
+    """
+    root = new_folder(spark, "observed")
+    payments = views.as_payments(
+        _stream(spark, folder, "orders"),
+        views.table(spark, folder, "customer"),
+        views.table(spark, folder, "nation"),
+    ).withColumn("tx_id", F.when(~F.col("flag_ataque"), F.col("tx_id")))
+    visits = views.as_visits(_stream(spark, folder, "events"))
+    often = {"processingTime": "1 second"}
+    with watched(spark) as totals:
+        started = streams.start_all(
+            payments, visits, views.blacklist(spark, folder), root, views.POLICY, often, often
+        )
+        run_until_idle(spark, started)
+    parts = []
+    for sink in (streams.alert_sink(root), streams.bot_sink(root), streams.window_sink(root)):
+        own = totals.of(sink.name)
+        parts.append(sink.read(spark).agg(F.count(F.lit(1)).alias("n_held")).select(
+            F.lit(sink.name).alias("name"), *[F.lit(own[c]).cast("bigint").alias(c) for c in (ROWS, REJECTED, DROPPED)],
+            "n_held",
+        ))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register
 def dedup_stream(spark, folder):
     """Every event arrives twice and is kept once."""

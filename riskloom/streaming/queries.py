@@ -16,6 +16,7 @@ from riskloom.functions.risk import RiskPolicy
 from riskloom.operators import payments as pay
 from riskloom.operators import visits as vis
 from riskloom.sinks.keyed import last_by_key, read_state
+from riskloom.streaming.observed import observed
 
 ONCE = {"availableNow": True}
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
@@ -125,9 +126,12 @@ def start_all(
     trigger: dict | None = None,
     window_trigger: dict | None = EVERY_10_SECONDS,
 ) -> list[StreamingQuery]:
-    """Start the three queries; ``visits`` feeds two of them."""
+    """Start the three queries; ``visits`` feeds two of them. Each tells how many rows lack their key."""
+    alerts, bots, windows = alert_sink(root), bot_sink(root), window_sink(root)
+    payments = observed(payments, alerts.name, F.col("tx_id").isNull())
+    no_address = F.col("ip").isNull()
     return [
-        alert_sink(root).start(pay.alerts(payments, policy), trigger),
-        bot_sink(root).start(vis.bot_traffic(visits, blacklist), trigger),
-        window_sink(root).start(vis.window_metrics(visits), window_trigger),
+        alerts.start(pay.alerts(payments, policy), trigger),
+        bots.start(vis.bot_traffic(observed(visits, bots.name, no_address), blacklist), trigger),
+        windows.start(vis.window_metrics(observed(visits, windows.name, no_address)), window_trigger),
     ]

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +8,11 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.operators import payments as pay
 from riskloom.operators import visits as vis
+from riskloom.operators.lateness import late_rows
 from riskloom.sinks import files as out
 from riskloom.sources import files as src
 from riskloom.streaming import queries as streams
+from riskloom.streaming.observed import observed, run_until_idle, watched
 from riskloom.streaming.sources import file_events, kafka_options
 from riskloom.session import new_folder, shared_folder
 
@@ -255,3 +258,35 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert run() >= 1
     starts = {(r.window_start - START).total_seconds() / 60 for r in sink.read(spark).collect()}
     assert starts == {0, 1, 29, 30}
+
+
+def test_single_late_rows_are_counted_as_the_batch_report_counts_them(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "root")
+    batches = [["10:00:00", "11:00:00"], ["10:30:00", "10:59:30", "12:00:00"], ["11:00:00", "11:58:00", "12:30:00"], ["12:00:00"]]
+    rows = []
+    with watched(spark) as totals:
+        for number, times in enumerate(batches):
+            own = [{"k": f"{number}{i}", "ts": f"2026-01-01T{t}"} for i, t in enumerate(times)]
+            write_json(source, f"{number}.json", own)
+            rows += [(number, dt.datetime.fromisoformat(r["ts"])) for r in own]
+            stream = observed(file_events(spark, str(source), "k string, ts timestamp", "json"), "odd", F.col("k").endswith("1"))
+            streams.append_files(streams.deduplicated(stream, "k", "ts"), root, "late", streams.ONCE).awaitTermination()
+        deadline = time.monotonic() + 20
+        while totals.of("late")["n_in"] < len(rows) and time.monotonic() < deadline:
+            time.sleep(0.2)
+    report = late_rows(spark.createDataFrame(rows, "batch bigint, ts timestamp"), "batch", "ts", "1 minute")
+    n_late = report.agg(F.sum("n_late")).first()[0]
+    assert totals.of("late") == {"n_in": len(rows), "n_dropped": n_late, "n_rejected": 3} and n_late == 4
+    assert spark.read.parquet(f"{root}/late").count() == len(rows) - n_late
+
+
+def test_a_failing_stream_ends_the_run(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "root")
+    write_json(source, "1.json", [{"k": "a"}])
+    stream = file_events(spark, str(source), "k string", "json")
+    broken = stream.withColumn("k", F.raise_error(F.lit("on purpose")).cast("string"))
+    often = {"processingTime": "1 second"}
+    started = [streams.append_files(stream, root, "good", often), streams.append_files(broken, root, "bad", often)]
+    with pytest.raises(Exception, match="on purpose"):
+        run_until_idle(spark, started)
+    assert not any(query.isActive for query in started)
