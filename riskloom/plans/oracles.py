@@ -568,7 +568,7 @@ SELECT id AS doc_id, CAST(len(vector) AS INTEGER) AS width,
        array_to_string(list_transform(vector, lambda v: CAST(v AS VARCHAR)), ',') AS vector
 FROM texts_vectors"""),
         "corpus_search": _with(CORPUS_SEARCH + _hits(rounded=True) + _picks(rounded=True), """
-SELECT query_id, pick, rank, chunk_id, source, page FROM picks"""),
+SELECT query_id, pick, rank, chunk_id, source, CAST(page AS VARCHAR) AS page FROM picks"""),
         "mmr": _with(picks, "SELECT query_id, chunk_id, rank, pick FROM picks"),
         "context_table": _with(picks + CONTEXTS, "SELECT * FROM contexts"),
         "source_footer": _with(picks + FOOTERS, "SELECT * FROM footers"),

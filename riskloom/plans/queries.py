@@ -753,7 +753,7 @@ def corpus_search(spark, folder):
     index, encoder = build_index(views.documents(spark, folder), path)
     asked = views.asked(spark, folder).withColumnRenamed("question", "text")
     picked = ret.retrieve(encoder.transform(asked), index)
-    return picked.select("query_id", "pick", "rank", "chunk_id", "source", "page")
+    return picked.select("query_id", "pick", "rank", "chunk_id", "source", F.col("page").cast("string").alias("page"))
 
 
 @register

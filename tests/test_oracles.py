@@ -26,7 +26,7 @@ def db():
 def test_every_sql_belongs_to_a_query():
     assert set(all_oracles()) <= set(all_queries())
     assert set(all_queries()) - set(all_oracles()) == {
-        "chunks_recursive", "hashed_embeddings", "corpus_search", "trained_heads",
+        "chunks_recursive", "trained_heads",
     }
 
 
