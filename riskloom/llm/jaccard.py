@@ -512,21 +512,34 @@ def _block_links(
     inside = _inside(families, everyone)
     ids = inside.select("doc_id").distinct()
     held = staged(inside.join(_whole_sets(docs, ids, words), "doc_id"), "jaccard-family-sets")
-    counts = held.groupBy("main", "stray").agg(
-        F.ceil(F.sum(F.octet_length("shingles") + 64) / BLOCK_BYTES).alias("blocks")
+    n_bytes = F.octet_length("shingles") + 64
+    blocks = lambda of: F.greatest(F.ceil(F.sum(F.when(of, n_bytes)) / BLOCK_BYTES), F.lit(1))
+    # One row per family, so that dealing its documents into blocks needs no shuffle by family.
+    counts = held.groupBy("main").agg(
+        blocks(F.col("stray")).alias("stray_blocks"), blocks(~F.col("stray")).alias("member_blocks")
     )
-    packed = (
-        held.join(counts, ["main", "stray"])
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
-        .groupBy("main", "stray", "block")
-        .agg(F.collect_list("doc_id").alias("ids"), F.collect_list("shingles").alias("sets"))
+    packed = staged(
+        lookup_join(held, staged(counts, "jaccard-family-sizes"), ["main"], "inner")
+        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.expr("if(stray, stray_blocks, member_blocks)")))
+        .groupBy("main", "stray", "block", "stray_blocks", "member_blocks")
+        .agg(F.collect_list("doc_id").alias("ids"), F.collect_list("shingles").alias("sets")),
+        "jaccard-blocks",
     )
-    packed = staged(packed, "jaccard-blocks")
-    left = packed.filter("stray").select("main", F.col("block").alias("at"), F.col("ids").alias("x"), F.col("sets").alias("p"))
+    # Pairs of block numbers are dealt by block before the sets join them, not by family.
+    others = "filter(sequence(0L, stray_blocks - 1), b -> b >= block)"
+    numbers = packed.filter("stray").select(
+        "main",
+        F.col("block").alias("at"),
+        F.expr(
+            f"explode(concat(transform({others}, b -> struct(true AS stray, b AS block)), "
+            "transform(sequence(0L, member_blocks - 1), b -> struct(false AS stray, b AS block)))) AS other"
+        ),
+    ).select("main", "at", "other.*")
     right = packed.select("main", "stray", "block", F.col("ids").alias("y"), F.col("sets").alias("q"))
-    pairs = left.join(right, "main").filter("NOT stray OR at <= block").select("x", "p", "y", "q")
+    left = packed.filter("stray").select("main", F.col("block").alias("at"), F.col("ids").alias("x"), F.col("sets").alias("p"))
+    pairs = numbers.join(right, ["main", "stray", "block"]).join(left, ["main", "at"])
     return staged(
-        pairs.repartition(F.xxhash64("x", "y")).mapInArrow(lean(lambda x: _linked_in_blocks(x, percent)), "a long, b long"),
+        pairs.select("x", "p", "y", "q").mapInArrow(lean(lambda x: _linked_in_blocks(x, percent)), "a long, b long"),
         "jaccard-links",
     )
 
