@@ -19,11 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import texts
-from riskloom.llm.memory import give_back, lean
+from riskloom.llm.folders import staged
+from riskloom.llm.memory import lean
 
 CELLS = 1 << 20
 #: Bytes at the start of a word that are features beside the whole word.
@@ -70,14 +72,15 @@ def word_cells(column: pa.Array):
 
 
 def _cells(batches):
+    """doc_id and kind with the distinct cells of the text."""
     for batch in batches:
         lists = []
-        for n, cells, owner in word_cells(batch.column(1)):
+        for n, cells, owner in word_cells(batch.column(2)):
             both = np.unique(owner * CELLS + cells)
             cut = np.searchsorted(both, np.arange(n + 1) * CELLS)
             lists += [(both[cut[i] : cut[i + 1]] % CELLS).astype(np.int32) for i in range(n)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(lists, pa.list_(pa.int32()))], ["kind", "cells"]
+            [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "kind", "cells"]
         )
 
 
@@ -115,19 +118,37 @@ class Fitted:
         return (1 / (1 + np.exp(-np.clip(logits, -30, 30)))).mean(axis=0)
 
 
-def _telling_words(
-    seen_p: np.ndarray, seen_u: np.ndarray, n_p: int, n_u: int, policy: PuPolicy
-) -> np.ndarray:
-    """Cells that positives hold far more often than unlabelled texts, by their log-odds test.
+def _telling_cells(held: DataFrame, n_p: int, n_u: int, policy: PuPolicy) -> np.ndarray:
+    """Cells that positives hold far more or less often than unlabelled texts, by their log-odds test.
 
-    ``seen_p`` and ``seen_u`` are the numbers of texts that hold each cell.
+    ``held`` has kind and cells of each text of the sample. Texts per cell are counted in Spark; only
+    the ``words_kept`` best cells come to the driver. Ties go to the smaller cell.
     """
-    rate_p, rate_u = (seen_p + 0.5) / (n_p + 1), (seen_u + 0.5) / (n_u + 1)
-    spread = np.sqrt(rate_p / (n_p + 1) + rate_u / (n_u + 1))
-    test = (rate_p - rate_u) / spread
-    test[seen_p + seen_u < policy.least_documents] = 0
-    best = np.argsort(-np.abs(test), kind="stable")[: policy.words_kept]
-    return np.sort(best[np.abs(test[best]) > 4])
+    seen = held.select("kind", F.explode("cells").alias("cell")).groupBy("cell").agg(
+        F.count_if(F.col("kind") == 1).alias("p"), F.count_if(F.col("kind") == 0).alias("u")
+    )
+    rate_p, rate_u = (F.col("p") + 0.5) / (n_p + 1), (F.col("u") + 0.5) / (n_u + 1)
+    test = F.abs(rate_p - rate_u) / F.sqrt(rate_p / (n_p + 1) + rate_u / (n_u + 1))
+    best = (
+        seen.filter(F.col("p") + F.col("u") >= policy.least_documents)
+        .select("cell", test.alias("test")).filter("test > 4")
+        .orderBy(F.desc("test"), "cell").limit(policy.words_kept)
+    )
+    return np.sort(np.array([row.cell for row in best.collect()], np.int64))
+
+
+def slope(p: np.ndarray, u: np.ndarray, w: np.ndarray, prior: float) -> np.ndarray:
+    """Direction of descent of the non-negative risk at weights ``w``.
+
+    ``p`` and ``u`` are the positive and unlabelled texts as rows. It is the gradient of the risk
+    where the estimate of the clean texts' risk is not negative, else minus that estimate's gradient.
+    """
+    z_p, z_u = (p @ w).astype(np.float64), (u @ w).astype(np.float64)
+    at_p, at_u = 1 / (1 + np.exp(-z_p)), 1 / (1 + np.exp(-z_u))
+    risk = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
+    at_p, at_u = at_p.astype(p.dtype), at_u.astype(u.dtype)
+    clean = u.T @ at_u / len(u) - prior * (p.T @ at_p) / len(p)
+    return prior * (p.T @ (at_p - 1)) / len(p) + clean if risk >= 0 else -clean
 
 
 def fit(positive, unlabelled, chosen: np.ndarray, prior: float, policy: PuPolicy) -> Fitted:
@@ -159,18 +180,9 @@ def fit(positive, unlabelled, chosen: np.ndarray, prior: float, policy: PuPolicy
         w[-1] = np.log(prior / (1 - prior))
         mean, square = np.zeros_like(w), np.zeros_like(w)
         for step in range(1, policy.steps + 1):
-            z_p, z_u = (p @ w).astype(np.float64), (u @ w).astype(np.float64)
-            at_p, at_u = 1 / (1 + np.exp(-z_p)), 1 / (1 + np.exp(-z_u))
-            risk = np.logaddexp(0, z_u).mean() - prior * np.logaddexp(0, z_p).mean()
-            at_p, at_u = at_p.astype(np.float32), at_u.astype(np.float32)
-            clean = u.T @ at_u / n_u - prior * (p.T @ at_p) / n_p
-            if risk >= 0:
-                slope = prior * (p.T @ (at_p - 1)) / n_p + clean
-            else:
-                slope = -clean
-            slope = slope + policy.decay * np.append(w[:-1], 0)
-            mean = 0.9 * mean + 0.1 * slope
-            square = 0.999 * square + 0.001 * slope * slope
+            down = slope(p, u, w, prior) + policy.decay * np.append(w[:-1], 0)
+            mean = 0.9 * mean + 0.1 * down
+            square = 0.999 * square + 0.001 * down * down
             w -= np.float32(policy.rate) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         weights[k], intercepts[k] = w[:-1], w[-1]
     return Fitted(chosen, weights, intercepts)
@@ -199,54 +211,26 @@ def train(documents: DataFrame, labels: DataFrame, policy: PuPolicy = PuPolicy()
     any_of = _thinned(training, policy.most_unlabelled)
     # The samples are bounded by the policy, so their ids may be broadcast.
     drawn = toxic.withColumn("kind", F.lit(1)).unionByName(any_of.withColumn("kind", F.lit(0)))
-    rows = (
+    held = staged(
         readable.join(F.broadcast(drawn.select(F.col("doc_id").cast("long").alias("doc_id"), "kind")), "doc_id")
-        .select("kind", "text")
-        .mapInArrow(lean(_cells), "kind int, cells array<int>")
-        .toArrow()
-    )
-    sides = _sides(rows.to_batches(), policy)
-    del rows
-    give_back()
-    return fit(*sides, prior, policy)
-
-
-def _sides(batches: list[pa.RecordBatch], policy: PuPolicy) -> tuple[tuple, tuple, np.ndarray]:
-    """Both sides of the sample, reduced to the cells that tell, and those cells.
-
-    The sample is counted and reduced batch by batch, so that no second copy of it is made.
-    """
-    count = {1: 0, 0: 0}
-    seen = {kind: np.zeros(CELLS, np.int64) for kind in count}
-    for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        cells = batch.column("cells")
-        own = np.repeat(kinds, np.diff(cells.offsets.to_numpy()))
-        flat = cells.flatten().to_numpy()
-        for kind in count:
-            count[kind] += int((kinds == kind).sum())
-            seen[kind] += np.bincount(flat[own == kind], minlength=CELLS)
-    chosen = _telling_words(seen[1], seen[0], count[1], count[0], policy)
-    told = np.zeros(CELLS, bool)
-    told[chosen] = True
-    kept = {kind: ([np.zeros(0, np.int64)], [np.zeros(0, np.int64)]) for kind in count}
-    before = dict.fromkeys(count, 0)
-    for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        cells = batch.column("cells")
-        flat = cells.flatten().to_numpy()
-        inside = np.flatnonzero(told[flat])
-        row = np.searchsorted(cells.offsets.to_numpy() - cells.offsets[0].as_py(), inside, "right") - 1
-        for kind in count:
-            number = before[kind] + np.cumsum(kinds == kind) - 1
-            mine = kinds[row] == kind
-            kept[kind][0].append(flat[inside[mine]].astype(np.int64))
-            kept[kind][1].append(number[row[mine]])
-            before[kind] += int((kinds == kind).sum())
-    positive, unlabelled = (
-        (np.concatenate(kept[kind][0]), np.concatenate(kept[kind][1]), count[kind]) for kind in (1, 0)
+        .select("doc_id", "kind", "text")
+        .mapInArrow(lean(_cells), "doc_id long, kind int, cells array<int>"),
+        "toxicity-sample",
     )
-    return positive, unlabelled, chosen
+    n_p, n_u = held.agg(F.count_if(F.col("kind") == 1), F.count_if(F.col("kind") == 0)).first()
+    chosen = _telling_cells(held, n_p, n_u, policy)
+    told = F.array_intersect("cells", F.array(*map(F.lit, chosen.tolist())).cast("array<int>"))
+    rows = held.select("doc_id", "kind", told.alias("cells")).toArrow().combine_chunks()
+    return fit(_side(rows, 1), _side(rows, 0), chosen, prior, policy)
+
+
+def _side(rows: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The telling cells of the texts of one kind, the texts' numbers in the order of their ids, and their count."""
+    own = rows.filter(pc.equal(rows["kind"], kind))
+    lists = own.take(pc.sort_indices(own, [("doc_id", "ascending")]))["cells"].combine_chunks()
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    cells = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return cells, np.repeat(np.arange(len(lengths)), lengths), len(lengths)
 
 
 def score(documents: DataFrame, model: Fitted, output: str = "toxicity") -> DataFrame:
