@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import itertools
+import math
 import random
 from re import _constants as sre
 from re import _parser
@@ -298,6 +299,48 @@ def test_toxicity_with_confirmed_toxic_labels_only(spark):
     assert all((r.toxicity >= 0.5) == (r.doc_id % 8 == 0) for r in scores)
 
 
+@pytest.mark.parametrize("shift", [0.0, -4.0])
+def test_slope_is_the_gradient_of_the_risk(shift):
+    """Against differences of the plainly written risk; where the clean part is negative, of that part alone."""
+    rng = np.random.default_rng(1)
+    p = (rng.random((60, 9)) < 0.5).astype(float)
+    u = (rng.random((150, 9)) < 0.3).astype(float)
+    p[:, -1] = u[:, -1] = 1
+    prior = 0.3
+
+    def loss(rows, w, sign):
+        return sum(math.log1p(math.exp(-sign * sum(x * y for x, y in zip(row, w)))) for row in rows) / len(rows)
+
+    def clean(w):
+        return loss(u, w, -1) - prior * loss(p, w, -1)
+
+    w = rng.normal(size=9)
+    if shift:
+        # Positives above all, the rest far below: the estimate falls below zero.
+        p[:, 0], u[:, 0] = 1, 0
+        w[:] = 0
+        w[0], w[-1] = 9.0, shift
+    assert (clean(w) < 0) == bool(shift)
+    aim = (lambda v: -clean(v)) if shift else (lambda v: prior * loss(p, v, 1) + clean(v))
+    near = np.eye(9) * 1e-6
+    plain = [(aim(w + e) - aim(w - e)) / 2e-6 for e in near]
+    assert np.allclose(toxicity.slope(p, u, w, prior), plain, atol=1e-7)
+
+
+def test_telling_cells_by_plain_counts(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, int(i % 4 == 0), sorted({int(c) for c in rng.integers(0, 60, 20)} | ({100 + i % 8} if i % 4 == 0 else set()))) for i in range(800)]
+    held = spark.createDataFrame(rows, "doc_id long, kind int, cells array<int>")
+    tests = {}
+    for cell in {c for row in rows for c in row[2]}:
+        a, b = (sum(cell in r[2] for r in rows if r[1] == kind) for kind in (1, 0))
+        p, u = (a + 0.5) / 201, (b + 0.5) / 601
+        tests[cell] = abs(p - u) / math.sqrt(p / 201 + u / 601)
+    wanted = sorted(c for c, t in tests.items() if t > 4)
+    assert toxicity._telling_cells(held, 200, 600, toxicity.PuPolicy()).tolist() == wanted == [100, 104]
+    assert toxicity._telling_cells(held, 200, 600, toxicity.PuPolicy(words_kept=1)).tolist() == [100]
+
+
 def test_groups_beyond_the_broadcast_bound(spark, docs, monkeypatch):
     """Hot keys leave the shuffle; results stay the same."""
     from riskloom.operators import joins

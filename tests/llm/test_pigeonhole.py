@@ -1,5 +1,6 @@
 """Linked sets share a signature, whatever is frequent."""
 
+import brute
 import numpy as np
 import pytest
 
@@ -55,3 +56,31 @@ def test_few_signatures_meet_by_chance():
     written = sum(len(x) for x in found)
     assert written < 0.45 * sum(len(s) for s in sets)
     assert len(set().union(*found)) == written
+
+
+def test_families_in_blocks(spark, monkeypatch):
+    """Strays compared block by block give the links of plain comparison, each once per pair of blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 4000)
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in rng.integers(0, 10**6, 60)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        for at in rng.integers(0, 60, i % 4):
+            words[at] = f"x{rng.integers(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # Two families share the documents: one of members and strays, one of strays alone.
+    families = spark.createDataFrame(
+        [(0, i, 9999) for i in range(50, 80)] + [(45, i, 9999) for i in range(46, 60)], "main long, doc_id long, meetings long"
+    )
+    everyone = spark.createDataFrame([(0, i) for i in range(50)], "main long, doc_id long")
+    found = [(r.a, r.b) for r in jaccard._block_links(families, everyone, docs, 5, 80).collect()]
+    sets = {i: brute.shingles(text) for i, text in rows}
+
+    def linked(a, b):
+        return 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+
+    wanted = {(min(a, b), max(a, b)) for a in range(50, 80) for b in range(80) if a != b and linked(a, b)}
+    wanted |= {(min(a, b), max(a, b)) for a in range(46, 60) for b in range(45, 60) if a != b and linked(a, b)}
+    assert set(found) == wanted and wanted
