@@ -424,14 +424,18 @@ def _first_pairs(met: DataFrame) -> DataFrame:
 
 
 def _torn(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the signatures that meet several components, with their own and the largest."""
-    members = (
-        met.select("signature", "doc_id")
-        .join(labels.withColumnRenamed("u", "doc_id"), "doc_id", "left")
-        .select("signature", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-        .distinct()
-    )
-    shares = members.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n"))
+    """Members of the signatures that meet several components, with their own and the largest.
+
+    Components only merge, so a later round needs none but these rows.
+    """
+    roots = labels.withColumnRenamed("u", "doc_id")
+
+    def rooted(rows: DataFrame) -> DataFrame:
+        found = F.coalesce("root", "doc_id").alias("root")
+        return rows.join(roots, "doc_id", "left").select(*rows.columns, found).distinct()
+
+    held = met.select("signature", "doc_id")
+    shares = rooted(held).groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n"))
     parts = (
         shares.groupBy("signature")
         .agg(
@@ -446,7 +450,8 @@ def _torn(met: DataFrame, labels: DataFrame) -> DataFrame:
             "members",
         )
     )
-    return staged(members.join(parts, "signature"), "jaccard-torn")
+    torn = lookup_join(held, staged(parts, "jaccard-parts"), ["signature"], "inner")
+    return staged(rooted(torn), "jaccard-torn")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -598,6 +603,7 @@ def jaccard_components(
     labels = _labels(links)
     for turn in range(1, ROUNDS + 2):
         torn, everyone = _torn(met, labels), _everyone(labels)
+        met = torn
         families = _families(torn, everyone)
         if turn > ROUNDS or families.isEmpty():
             break
