@@ -63,6 +63,8 @@ FAMILY = 2048
 PIVOTS = 6
 ROUNDS = 2
 BLOCK_BYTES = 1 << 18
+#: Bytes of torn signatures that are broadcast; more are joined by a shuffle.
+LOOKUP_BYTES = 64 << 20
 NULL_ID = -(1 << 63)
 
 _SEGMENT = np.uint64(0x8CB92BA72F3D8DD7)
@@ -450,7 +452,7 @@ def _torn(met: DataFrame, labels: DataFrame) -> DataFrame:
             "members",
         )
     )
-    torn = lookup_join(held, staged(parts, "jaccard-parts"), ["signature"], "inner")
+    torn = lookup_join(held, staged(parts, "jaccard-parts"), ["signature"], "inner", LOOKUP_BYTES)
     return staged(rooted(torn), "jaccard-torn")
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from riskloom.llm import jaccard, texts
+from riskloom.operators import joins
 
 
 def signed(sets, bands, frequent):
@@ -84,3 +85,43 @@ def test_families_in_blocks(spark, monkeypatch):
     wanted = {(min(a, b), max(a, b)) for a in range(50, 80) for b in range(80) if a != b and linked(a, b)}
     wanted |= {(min(a, b), max(a, b)) for a in range(46, 60) for b in range(45, 60) if a != b and linked(a, b)}
     assert set(found) == wanted and wanted
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_torn_signatures(spark, monkeypatch, limit):
+    """Equal to a plain count, by broadcast or by a shuffle without its hot keys; the torn rows of one
+    round are enough for the next."""
+    monkeypatch.setattr(jaccard, "LOOKUP_BYTES", limit)
+    split = joins.hot_split_join
+    monkeypatch.setattr(joins, "hot_split_join", lambda *a, **k: split(*a, **k, min_hot_rows=10))
+    rng = np.random.default_rng(3)
+    rows = [(int(s), int(d)) for s, d in zip(rng.integers(0, 40, 150), rng.integers(0, 60, 150))]
+    rows += [(100, d) for d in range(60)] + [(101, d) for d in range(0, 60, 10)] + rows[:5]
+    met = spark.createDataFrame(rows, "signature long, doc_id long")
+
+    def plain(roots):
+        held = {}
+        for signature, doc in set(rows):
+            held.setdefault(signature, []).append((doc, roots.get(doc, doc)))
+        out = set()
+        for signature, docs in held.items():
+            sizes = {}
+            for _, root in docs:
+                sizes[root] = sizes.get(root, 0) + 1
+            if len(sizes) > 1:
+                main = max((n, root) for root, n in sizes.items())[1]
+                out |= {(signature, doc, root, main, len(docs)) for doc, root in docs}
+        return out
+
+    def found(rows, roots):
+        labels = spark.createDataFrame(sorted(roots.items()), "u long, root long")
+        torn = jaccard._torn(rows, labels)
+        got = [(r.signature, r.doc_id, r.root, r.main, r.members) for r in torn.collect()]
+        assert len(got) == len(set(got))
+        return torn, set(got)
+
+    first = {d: d // 10 * 10 for d in range(60) if d % 10}
+    torn, got = found(met, first)
+    assert got == plain(first) and len({s for s, *_ in got}) < len({s for s, _ in rows})
+    merged = {d: d // 30 * 30 for d in range(60) if d % 30}
+    assert found(torn, merged)[1] == plain(merged)
