@@ -36,7 +36,8 @@ END_ID = 2
 SLACK = 0.03
 MOST_CUTS = 3
 CHUNK_BYTES = 1 << 20
-CACHE_WORDS = 500_000
+#: Most words and pieces of words that a worker keeps before it starts anew.
+CACHE_WORDS = 600_000
 
 _TAIL = "".join(sorted(set(string.punctuation) - set("'")))
 #: Letters that composing leaves alone and whose lower case is one letter.
@@ -47,9 +48,10 @@ _tokenizers: dict[str, WordTokenizer] = {}
 class WordTokenizer:
     """A tokenizer whose words are independent of each other, with a bounded cache of words.
 
-    Words are what blanks and line ends part. Words of Latin letters, with punctuation after them or
-    not, are tokenised many at a time without it and parted at the tokens that end a word; where
-    the count of those does not fit, and for all other words, each is tokenised alone.
+    Words are what blanks and line ends part. A word of Latin letters, with punctuation after them or
+    not, is two pieces, a stem and a tail; any other word is one piece. Stems are tokenised many at a
+    time and parted at the tokens that end a word; where the count of those does not fit, and for all
+    other pieces, each is tokenised alone.
     """
 
     def __init__(self, path: str):
@@ -58,10 +60,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # For words that normalising leaves as they are and that are one part: the same model
-        # behind a plain split at blanks.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        # For stems, which normalising leaves as they are and which are one part: the same model, held
+        # once, behind a plain split at blanks.
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
@@ -74,69 +75,75 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {}
-        self.sizes = np.zeros(1 << 16, np.int64)
+        #: Place of each word in ``stem`` and ``tail``, which hold places of its pieces.
+        self.words: dict[str, int] = {}
+        self.stem = np.zeros(1 << 16, np.int32)
+        self.tail = np.zeros(1 << 16, np.int32)
+        #: Place of each piece in ``sizes`` and ``firsts``, which tell its ids in ``flat``.
+        self.pieces: dict[str, int] = {"": 0}
+        self.sizes = np.zeros(1 << 16, np.int32)
         self.firsts = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
-    def _encode(self, rows: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
-
-    def _letters(self, stems: list[str]) -> list[list[int]]:
-        """Ids of lower-case Latin words, many in one call."""
-        found: list[list[int]] = []
+    def _encode(self, rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows in one array, and the number of each row's."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int32, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _store(self, names: list[str], flat: np.ndarray, sizes: np.ndarray) -> None:
+        count, used = len(self.pieces), self.used + len(flat)
+        self.sizes = _room(self.sizes, count + len(names))
+        self.firsts = _room(self.firsts, count + len(names))
+        self.flat = _room(self.flat, used)
+        self.sizes[count : count + len(names)] = sizes
+        self.firsts[count : count + len(names)] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used : used] = flat
+        self.used = used
+        self.pieces.update(zip(names, range(count, count + len(names))))
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        """Lower-case Latin words, many in one call."""
         groups = [stems[i : i + 500] for i in range(0, len(stems), 500)]
         encoded = self.plain.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for group, own in zip(groups, encoded):
-            ids = own.ids
-            cuts = (np.flatnonzero(self.ends[np.array(ids, np.int64)]) + 1).tolist()
+            flat = np.array(own.ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[flat]) + 1
             if len(cuts) == len(group):
-                found += [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+                self._store(group, flat[: cuts[-1]], np.diff(cuts, prepend=0))
             else:
-                found += self._encode(group)
-        return found
-
-    def _store(self, words: list[str], rows: list[list[int]]) -> None:
-        count = len(self.places)
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        flat = np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(sizes.sum()))
-        while count + len(rows) > len(self.sizes):
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.firsts = np.concatenate([self.firsts, np.zeros_like(self.firsts)])
-        while self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.sizes[count : count + len(rows)] = sizes
-        self.firsts[count : count + len(rows)] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.places.update(zip(words, range(count, count + len(rows))))
-
-    def _known(self, word: str) -> list[int]:
-        at = self.places[word]
-        return self.flat[self.firsts[at] : self.firsts[at] + self.sizes[at]].tolist()
+                self._store(group, *self._encode(group))
 
     def _learn(self, words: list[str]) -> None:
-        parts, others = [], []
+        stems, tails, letters, singles = [], [], set(), set()
         for word in words:
             stem = word.rstrip(_TAIL)
             if _LATIN.fullmatch(stem):
-                parts.append((word, stem.lower(), word[len(stem) :]))
+                tail = word[len(stem) :]
+                stem = stem.lower()
+                if stem not in self.pieces:
+                    letters.add(stem)
             else:
-                others.append(word)
-        stems = list({stem for _, stem, _ in parts}.difference(self.places))
-        fresh = dict(zip(stems, self._letters(stems)))
-        tails = list({tail for _, _, tail in parts})
-        ends = dict(zip(tails, self._encode(tails)))
-        self._store(stems, list(fresh.values()))
-        parts = [p for p in parts if p[0] not in self.places]
-        rows = [(fresh.get(stem) or self._known(stem)) + ends[tail] for _, stem, tail in parts]
-        self._store([word for word, _, _ in parts], rows)
-        self._store(others, self._encode(others))
+                stem, tail = word, ""
+                if stem not in self.pieces:
+                    singles.add(stem)
+            stems.append(stem)
+            tails.append(tail)
+        self._learn_stems(list(letters))
+        singles = [piece for piece in singles.union(tails) if piece not in self.pieces]
+        self._store(singles, *self._encode(singles))
+        count = len(self.words)
+        self.stem = _room(self.stem, count + len(words))
+        self.tail = _room(self.tail, count + len(words))
+        place = self.pieces.__getitem__
+        self.stem[count : count + len(words)] = np.fromiter(map(place, stems), np.int32, len(words))
+        self.tail[count : count + len(words)] = np.fromiter(map(place, tails), np.int32, len(words))
+        self.words.update(zip(words, range(count, count + len(words))))
 
     def ids(self, rows: list[str]) -> list[np.ndarray]:
         """The token ids of each text."""
-        if len(self.places) > CACHE_WORDS:
+        if len(self.words) + len(self.pieces) > CACHE_WORDS:
             self.clear()
         words: list[str] = []
         counts = []
@@ -144,19 +151,30 @@ class WordTokenizer:
             own = text.replace("\n", " ").split(" ")
             words += own
             counts.append(len(own))
-        new = set(words).difference(self.places)
+        new = [word for word in set(words) if word not in self.words]
         if new:
-            self._learn(list(new))
-        place = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[place]
-        ends = np.cumsum(sizes)
+            self._learn(new)
+        place = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
+        pieces = np.stack([self.stem[place], self.tail[place]], axis=1).ravel()
+        # Most words have no tail.
+        sizes = self.sizes[pieces]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        held = np.flatnonzero(sizes)
+        pieces, sizes, lasts = pieces[held], sizes[held], ends[held]
         total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.firsts[place] - (ends - sizes), sizes)
+        at = np.arange(total) + np.repeat(self.firsts[pieces] - (lasts - sizes), sizes)
         flat = self.flat[at]
-        cuts = np.concatenate([[0], ends])[np.cumsum(counts)] if counts else []
+        cuts = np.concatenate([[0], ends])[2 * np.cumsum(counts)] if counts else []
         return np.split(flat, cuts[:-1]) if len(rows) else []
 
 
+def _room(array: np.ndarray, count: int) -> np.ndarray:
+    """``array`` with space for ``count`` values at least."""
+    while count > len(array):
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
 def tokenizer_at(path: str) -> WordTokenizer:
     """One tokenizer for each Python worker."""
     if path not in _tokenizers:
