@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +67,10 @@ def _blocks(windows: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [windows.filter(F.pmod("hash", F.lit(n)) == i) for i in range(n)]
 
 
-def _scan(docs: DataFrame, block: DataFrame, every: bool, only: bool = False) -> DataFrame:
-    """Per document: number of words and verified hits (start, length, item).
+def _scan(
+    docs: DataFrame, block: DataFrame, every: bool, only: bool = False
+) -> tuple[DataFrame, Broadcast]:
+    """Per document: number of words and verified hits (start, length, item); the block's broadcast.
 
     ``every`` keeps documents without hits too. Where the block is the ``only`` one, hits are merged
     by the same task.
@@ -114,15 +117,25 @@ def _scan(docs: DataFrame, block: DataFrame, every: bool, only: bool = False) ->
                 yield rows if every else rows.filter(pa.array([bool(h) for h in hits]))
 
     if only:
-        return docs.mapInArrow(
+        rows = docs.mapInArrow(
             lean(lambda x: _merged(rows.select(["doc_id", "n_words", "hits"]) for rows in run(x))),
             _MERGED,
         )
-    return docs.mapInArrow(
-        lean(run),
-        "doc_id long, mark long, n_words long, "
-        "hits array<struct<start: long, length: int, item_id: long>>",
-    )
+    else:
+        rows = docs.mapInArrow(
+            lean(run),
+            "doc_id long, mark long, n_words long, "
+            "hits array<struct<start: long, length: int, item_id: long>>",
+        )
+    return rows, shared
+
+
+def _scanned(docs: DataFrame, block: DataFrame, every: bool) -> DataFrame:
+    """The rows of :func:`_scan` as a written table, so that the block can be given up at once."""
+    rows, shared = _scan(docs, block, every)
+    found = staged(rows if every else rows.distinct(), "benchmark-hits")
+    shared.destroy()
+    return found
 
 
 _MERGED = "doc_id long, n_words long, n_hit long, items array<long>"
@@ -168,20 +181,19 @@ def contamination(
     windows = staged(benchmark_windows(items, window), "benchmark-windows")
     blocks = _blocks(windows, block_bytes)
     if len(blocks) == 1:
-        return _scan(docs, blocks[0], every=True, only=True)
+        return _scan(docs, blocks[0], every=True, only=True)[0]
     # One block is in memory at a time; a document that several hit is put together again.
-    rows = _scan(docs, blocks[0], every=True)
-    later = staged(_scan(docs, blocks[1], every=False).distinct(), "benchmark-hits")
+    rows = _scanned(docs, blocks[0], every=True)
+    later = _scanned(docs, blocks[1], every=False)
     for block in blocks[2:]:
-        later = later.unionByName(staged(_scan(docs, block, every=False).distinct(), "benchmark-hits"))
+        later = later.unionByName(_scanned(docs, block, every=False))
     more = (
         later.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
         .groupBy("doc_id", "mark", "n_words")
         .agg(F.flatten(F.collect_list("hits")).alias("more"))
     )
     rows = (
-        staged(rows, "benchmark-hits")
-        .withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63))))
+        rows.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63))))
         .join(more.withColumnRenamed("doc_id", "id"), ["id", "mark", "n_words"], "left")
         .withColumn("hits", F.concat("hits", F.coalesce("more", F.array().cast("array<struct<start: long, length: int, item_id: long>>"))))
     )
