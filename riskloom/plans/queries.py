@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom import schemas
@@ -24,7 +24,7 @@ from riskloom.operators.embedding import CountSketch
 from riskloom.operators.lateness import late_rows as late_report
 from riskloom.operators.neighbours import Hyperplanes, best_ranked, block_join
 from riskloom.operators.splits import stratified_split as split_rows
-from riskloom.operators.training import best_on_validation, candidate_heads, predict, train_heads
+from riskloom.operators.training import candidate_heads, predict, train_heads
 from riskloom.plans import views
 from riskloom.plans.corpus import build_index, chunks_of
 from riskloom.plans.nightly_close import CloseFailed, land_all, landings
@@ -898,19 +898,23 @@ def model_comparison(spark, folder):
 @register
 def trained_heads(spark, folder):
     """Two heads trained on 80 % of the vectors and compared on the rest."""
-    parts = split_rows(views.vectors(spark, folder), "id").persist()
+    path = f"{new_folder(spark, 'heads')}/split"
+    rows = split_rows(views.vectors(spark, folder), "id")
+    rows.write.parquet(path)
+    parts = spark.read.schema(rows.schema).parquet(path)
     train = parts.filter(F.col("split") == "train")
     validation = parts.filter(F.col("split") == "validation")
     models = train_heads(train, candidate_heads(width=64, classes=10))
-    best = best_on_validation(models, validation)
     scored = None
     for name, model in models.items():
         rows = predict(model, validation, name)
         scored = rows if scored is None else scored.unionByName(rows)
-    return evaluation.model_comparison(scored).select(
+    # One row per model, so that the window is small; no model is scored twice.
+    best = F.first("modelo").over(Window.orderBy("test_loss", "modelo"))
+    return evaluation.model_comparison(scored).withColumn("best", best).select(
         "modelo",
         F.round("test_loss", 6).alias("test_loss"),
         F.round("test_accuracy", 6).alias("test_accuracy"),
         "n_rows",
-        (F.col("modelo") == best).alias("chosen"),
+        (F.col("modelo") == F.col("best")).alias("chosen"),
     )
