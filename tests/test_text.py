@@ -164,3 +164,14 @@ def test_project_files(spark):
     projects = spark.createDataFrame([("p",), ("q",)], "project_id string")
     got = conversations.project_files(docs, projects).orderBy("project_id", "file_name").collect()
     assert [tuple(r) for r in got] == [("p", 2, "a.txt"), ("p", 2, "b.txt"), ("q", 0, "Ninguno")]
+
+
+def test_chunks_of_a_few_texts_at_once(spark, monkeypatch):
+    """No batch that a task hands on grows with the number of texts Arrow hands it."""
+    monkeypatch.setattr(chunking, "TEXTS_AT_ONCE", 3)
+    rows = [(i, None if i % 7 == 1 else "" if i % 7 == 2 else f"word{i} " * (40 * i)) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    got = chunking.chunk_recursive(frame, 100, 10)
+    want = {(i, n, c) for i, t in rows if t for n, c in enumerate(split_text(t, 100, 10))}
+    assert {tuple(r) for r in got.collect()} == want and got.columns == ["doc_id", "chunk_no", "text"]
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
