@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import ensure_checkpoint_dir
+
 # Vertex types and edge relations.
 USER = "usuario"
 COUNTRY = "pais"
@@ -67,6 +69,28 @@ def edges(payments: DataFrame, visits: DataFrame) -> DataFrame:
     return payment_edges(payments).unionByName(visit_edges(visits))
 
 
+def folded(payments: DataFrame, visits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs of ends, payments with their number ``n``: enough for all vertices and edges.
+
+    Written to the checkpoint folder, because vertices, components and ring edges all read them: the
+    payments and visits behind them are read once.
+    """
+    ensure_checkpoint_dir(payments.sparkSession)
+    paid = payments.groupBy("user_id", "card_country").agg(F.count(F.lit(1)).alias("n"))
+    seen = visits.select("user_id", "ip").distinct()
+    return paid.checkpoint(), seen.checkpoint()
+
+
+def folded_edges(paid: DataFrame, seen: DataFrame) -> DataFrame:
+    """Each edge of :func:`edges` once, with the number ``n`` of its copies, from :func:`folded` pairs."""
+    # A visit edge counts once, however many visits it stands for.
+    seen = seen.select(F.lit(ADDRESS).alias("src_tipo"), F.col("ip").alias("src"), F.lit(USER).alias("dst_tipo"),
+                       F.col("user_id").alias("dst"), F.lit(VISIT_EDGE).alias("relacion"), F.lit(1).cast("long").alias("n"))
+    paid = paid.select(F.lit(USER).alias("src_tipo"), F.col("user_id").alias("src"), F.lit(COUNTRY).alias("dst_tipo"),
+                       F.col("card_country").alias("dst"), F.lit(PAYMENT_EDGE).alias("relacion"), "n")
+    return paid.unionByName(seen).dropna(subset=["src", "dst"])
+
+
 def degrees(edge_rows: DataFrame) -> DataFrame:
     """Edge ends per vertex. Each edge yields both ends in one scan, counted before the shuffle."""
     ends = F.explode(

@@ -117,10 +117,15 @@ def ring_node_types(ring_rows: DataFrame) -> DataFrame:
 def ring_edges(
     ring_rows: DataFrame, edges: DataFrame, min_hot_rows: int = MIN_HOT_ROWS
 ) -> DataFrame:
-    """The real edges inside the rings, parallel payments folded into a count."""
-    folded = edges.groupBy("src_tipo", "src", "dst_tipo", "dst", "relacion").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """The real edges inside the rings, parallel payments folded into a count.
+
+    Edges that have an ``n`` (:func:`riskloom.operators.graph.folded_edges`) are folded already.
+    """
+    folded = edges
+    if "n" not in edges.columns:
+        folded = edges.groupBy("src_tipo", "src", "dst_tipo", "dst", "relacion").agg(
+            F.count(F.lit(1)).alias("n")
+        )
     ends = ring_rows.select(
         F.col("tipo").alias("src_tipo"), F.col("id").alias("src"), "component"
     )

@@ -178,3 +178,30 @@ def test_topology_and_real_edges(spark):
     assert {(r.src, r.dst, r.n) for r in got.collect()} == {
         ("1.1", "a", 2), ("1.1", "b", 2), ("2.2", "b", 2)
     }
+
+
+def test_folded_pairs_give_the_same_graph(spark):
+    payments = spark.createDataFrame(
+        [("t1", "u1", 1.0, "EUR", "ES", "V", False), ("t2", "u1", 1.0, "EUR", "ES", "V", False),
+         ("t3", "u2", 1.0, "EUR", None, "V", False), ("t4", None, 1.0, "EUR", "FR", "V", False)],
+        schemas.PAYMENT,
+    )
+    visits = spark.createDataFrame(
+        [("t", "u1", "1.1.1.1", 1, 1, False, False)] * 3 + [("t", None, "2.2.2.2", 1, 1, False, False)], schemas.VISIT
+    )
+    plain, pairs = (graph.vertices(payments, visits), graph.edges(payments, visits)), graph.folded(payments, visits)
+    once = graph.vertices(*pairs), graph.folded_edges(*pairs)
+    assert sorted(map(tuple, once[0].collect())) == sorted(map(tuple, plain[0].collect()))
+    for vertices, edges in (plain, once):
+        ring_rows = rings.ring_members(connected_components(vertices, edges))
+        got = {(r.relacion, r.src, r.dst, r.n) for r in rings.ring_edges(ring_rows, edges).collect()}
+        assert got == {("pago", "u1", "ES", 2), ("visita", "1.1.1.1", "u1", 1)}
+
+
+def test_ring_queries_read_payments_and_visits_once(spark):
+    """After the pairs are written, no plan reads the tables again."""
+    from riskloom.plans import queries
+
+    members, edges = queries._rings(spark, "/root/testdata/sf0.001")
+    plan = rings.ring_edges(members, edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan and "RDD" in plan
