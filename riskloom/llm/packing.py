@@ -15,12 +15,12 @@ from __future__ import annotations
 import bisect
 import itertools
 import os
-import re
 import string
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,22 +36,24 @@ END_ID = 2
 SLACK = 0.03
 MOST_CUTS = 3
 CHUNK_BYTES = 1 << 20
-#: Most words and pieces of words that a worker keeps before it starts anew.
-CACHE_WORDS = 600_000
+#: Most pieces of words that a worker keeps before it starts anew.
+CACHE_PIECES = 600_000
 
 _TAIL = "".join(sorted(set(string.punctuation) - set("'")))
 #: Letters that composing leaves alone and whose lower case is one letter.
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = string.ascii_letters + "".join(c for c in map(chr, range(0xC0, 0x100)) if c not in "×÷")
+_LATIN = rf"\A[{_LETTERS}]+\z"
 _tokenizers: dict[str, WordTokenizer] = {}
 
 
 class WordTokenizer:
-    """A tokenizer whose words are independent of each other, with a bounded cache of words.
+    """A tokenizer whose words are independent of each other, with a bounded cache of their pieces.
 
     Words are what blanks and line ends part. A word of Latin letters, with punctuation after them or
-    not, is two pieces, a stem and a tail; any other word is one piece. Stems are tokenised many at a
-    time and parted at the tokens that end a word; where the count of those does not fit, and for all
-    other pieces, each is tokenised alone.
+    not, is two pieces, a stem and a tail; any other word is one piece. Arrow numbers the distinct words
+    of a run of texts, so that only those are looked up. Stems are tokenised many at a time and parted
+    at the tokens that end a word; where the count of those does not fit, and for all other pieces, each
+    is tokenised alone.
     """
 
     def __init__(self, path: str):
@@ -75,10 +77,6 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        #: Place of each word in ``stem`` and ``tail``, which hold places of its pieces.
-        self.words: dict[str, int] = {}
-        self.stem = np.zeros(1 << 16, np.int32)
-        self.tail = np.zeros(1 << 16, np.int32)
         #: Place of each piece in ``sizes`` and ``firsts``, which tell its ids in ``flat``.
         self.pieces: dict[str, int] = {"": 0}
         self.sizes = np.zeros(1 << 16, np.int32)
@@ -115,57 +113,52 @@ class WordTokenizer:
             else:
                 self._store(group, *self._encode(group))
 
-    def _learn(self, words: list[str]) -> None:
-        stems, tails, letters, singles = [], [], set(), set()
-        for word in words:
-            stem = word.rstrip(_TAIL)
-            if _LATIN.fullmatch(stem):
-                tail = word[len(stem) :]
-                stem = stem.lower()
-                if stem not in self.pieces:
-                    letters.add(stem)
-            else:
-                stem, tail = word, ""
-                if stem not in self.pieces:
-                    singles.add(stem)
-            stems.append(stem)
-            tails.append(tail)
-        self._learn_stems(list(letters))
-        singles = [piece for piece in singles.union(tails) if piece not in self.pieces]
+    def _learn(self, pieces: list[str]) -> None:
+        latin = pc.match_substring_regex(pa.array(pieces, pa.string()), pattern=_LATIN).to_pylist()
+        self._learn_stems(list(itertools.compress(pieces, latin)))
+        singles = [piece for piece, stem in zip(pieces, latin) if not stem]
         self._store(singles, *self._encode(singles))
-        count = len(self.words)
-        self.stem = _room(self.stem, count + len(words))
-        self.tail = _room(self.tail, count + len(words))
-        place = self.pieces.__getitem__
-        self.stem[count : count + len(words)] = np.fromiter(map(place, stems), np.int32, len(words))
-        self.tail[count : count + len(words)] = np.fromiter(map(place, tails), np.int32, len(words))
-        self.words.update(zip(words, range(count, count + len(words))))
-
-    def ids(self, rows: list[str]) -> list[np.ndarray]:
-        """The token ids of each text."""
-        if len(self.words) + len(self.pieces) > CACHE_WORDS:
-            self.clear()
-        words: list[str] = []
-        counts = []
-        for text in rows:
-            own = text.replace("\n", " ").split(" ")
-            words += own
-            counts.append(len(own))
-        new = [word for word in set(words) if word not in self.words]
-        if new:
+
+    def _places(self, pieces: pa.DictionaryArray) -> np.ndarray:
+        """The place of each of the pieces, new ones are learned."""
+        names = pieces.dictionary.to_numpy(zero_copy_only=False)
+        place = np.fromiter(map(self.pieces.get, names, itertools.repeat(-1)), np.int64, len(names))
+        unknown = np.flatnonzero(place < 0)
+        if len(unknown):
+            new = names[unknown].tolist()
             self._learn(new)
-        place = np.fromiter(map(self.words.__getitem__, words), np.int32, len(words))
-        pieces = np.stack([self.stem[place], self.tail[place]], axis=1).ravel()
-        # Most words have no tail.
-        sizes = self.sizes[pieces]
-        ends = np.cumsum(sizes, dtype=np.int64)
-        held = np.flatnonzero(sizes)
-        pieces, sizes, lasts = pieces[held], sizes[held], ends[held]
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.firsts[pieces] - (lasts - sizes), sizes)
-        flat = self.flat[at]
-        cuts = np.concatenate([[0], ends])[2 * np.cumsum(counts)] if counts else []
-        return np.split(flat, cuts[:-1]) if len(rows) else []
+            place[unknown] = np.fromiter(map(self.pieces.__getitem__, new), np.int64, len(new))
+        return place[pieces.indices.to_numpy()]
+
+    def ids(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """The token ids of each text; none is null."""
+        if len(self.pieces) > CACHE_PIECES:
+            self.clear()
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        counts = pc.list_value_length(split).to_numpy()
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary
+        stem = pc.ascii_rtrim(distinct, characters=_TAIL)
+        latin = pc.match_substring_regex(stem, pattern=_LATIN)
+        stem = pc.if_else(latin, pc.utf8_lower(stem), distinct)
+        tail = pc.if_else(latin, pc.utf8_ltrim(distinct, characters=_LETTERS), "")
+        parts = [self._places(part.dictionary_encode()) for part in (stem, tail)]
+        pieces = np.stack(parts, axis=1).ravel()
+        flat, ends = _runs(self.flat, self.firsts[pieces], self.sizes[pieces])
+        ends = ends[1::2]
+        sizes = np.diff(ends, prepend=0)
+        place = words.indices.to_numpy()
+        flat, ends = _runs(flat, (ends - sizes)[place], sizes[place])
+        cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
+        return np.split(flat, cuts[:-1]) if len(texts) else []
+
+
+def _runs(values: np.ndarray, firsts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``values`` one after another, and where each ends there."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = np.repeat(firsts - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return values[at], ends
 
 
 def _room(array: np.ndarray, count: int) -> np.ndarray:
@@ -205,8 +198,8 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
         for batch in batches:
             for first, last, _, _ in text_chunks(batch.column(1), CHUNK_BYTES):
                 out = []
-                ids, rows = (c.slice(first, last - first).to_pylist() for c in batch.columns[:2])
-                for doc_id, own in zip(ids, words.ids(rows)):
+                ids, rows = (c.slice(first, last - first) for c in batch.columns[:2])
+                for doc_id, own in zip(ids.to_pylist(), words.ids(rows.cast(pa.string()))):
                     own = np.append(own, np.uint32(END_ID)).astype("<u4")
                     start = 0
                     for length in cuts(len(own), capacity):

@@ -9,6 +9,7 @@ from re import _parser
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -216,6 +217,53 @@ def test_packing(docs, odd):
     assert len(rows) == 5 and {r.doc_id for r in rows} == {None, 1}
 
 
+class Reads(dict):
+    """A dictionary that counts how often it is asked for a key."""
+
+    count = 0
+
+    def __contains__(self, key):
+        Reads.count += 1
+        return super().__contains__(key)
+
+    def __getitem__(self, key):
+        Reads.count += 1
+        return super().__getitem__(key)
+
+    def get(self, key, default=None):
+        Reads.count += 1
+        return super().get(key, default)
+
+
+def test_packing_looks_up_distinct_words_only():
+    words = packing.WordTokenizer(public_tokenizers.path(queries.TOKENIZER))
+    for name, held in list(vars(words).items()):
+        if isinstance(held, dict):
+            setattr(words, name, Reads(held))
+    Reads.count = 0
+    found = words.ids(pa.array(["Straße, été (x) don't " * 5_000, "été\n" * 5_000]))
+    assert 0 < Reads.count < 100
+    encode = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER)).encode
+    assert found[1].tolist() == encode("été", add_special_tokens=False).ids * 5_000
+
+
+def test_packing_words_match_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_PIECES", 500)
+    rng = random.Random(5)
+    signs = [*"aBzÀÿßµ×÷İΣſǅ漢٣7'.,-!?|\x00\t\r\n \u00a0\u2003\u0301\U0001f600", "  ", "'s", "'LL", "...", "<|endoftext|>"]
+    texts = ["", " ", "\n\n", "A" * 3_000, "É." * 3_000, "x" + "!" * 3_000]
+    texts += ["".join(rng.choices(signs, k=rng.randint(1, 60))) for _ in range(2_000)]
+    texts += [prose(i, 50, "aéÖn").title() + "," for i in range(50)]
+    words = packing.WordTokenizer(public_tokenizers.path(queries.TOKENIZER))
+    encode = Tokenizer.from_file(public_tokenizers.path(queries.TOKENIZER)).encode
+    want = [encode(t, add_special_tokens=False).ids for t in texts]
+    for step in (1, 7, 700):
+        rows = pa.array(["before", *texts, "after"])[1:-1]
+        runs = [words.ids(rows[i : i + step]) for i in range(0, len(rows), step)]
+        assert [own.tolist() for run in runs for own in run] == want
+    assert words.ids(rows[:0]) == []
+
+
 @pytest.mark.parametrize("length", [1, 2, 100, 1365, 1366, 2047, 2048, 3000, 4095, 4096, 4097, 100_000])
 def test_cuts_cover_a_document(length):
     pieces = packing.cuts(length)
